@@ -67,7 +67,7 @@ def from_csv_quoted(spark, sf_dir):
 def _feature_rows(spark, sf_dir):
     dictionary = feature_dictionary(ratings(spark, sf_dir))
     rows = encode(scaled(spark, sf_dir).select("row_id", "rating", *ENCODED), dictionary, row())
-    return rows.select("row_id", F.col("rating").alias("label"), "idx", "val")
+    return rows.select("row_id", F.col("rating").alias("label"), "idx", "val"), dictionary
 
 
 _SLOTS = "string_agg(idx::varchar, ' ' order by idx)"
@@ -75,17 +75,17 @@ _SLOTS = "string_agg(idx::varchar, ' ' order by idx)"
 
 @query("libsvm_roundtrip", f"select rating as label, {_SLOTS} as slots from feat group by row_id, rating", "feat")
 def libsvm_roundtrip(spark, sf_dir):
-    rows, path = _feature_rows(spark, sf_dir), new_path(spark, "libsvm")
+    path = new_path(spark, "libsvm")
+    rows, dictionary = _feature_rows(spark, sf_dir)
     features.save_libsvm(rows, path)
-    count = feature_dictionary(ratings(spark, sf_dir)).count()
-    back = features.vector_parts(features.load_libsvm_vectors(spark, path, count))
+    back = features.vector_parts(features.load_libsvm_vectors(spark, path, dictionary.count()))
     return back.select("label", F.array_join("idx", " ").alias("slots"))
 
 
 @query("libsvm_rows", f"select rating as label, {_SLOTS} as slots from feat group by row_id, rating", "feat")
 def libsvm_rows(spark, sf_dir):
     path = new_path(spark, "libsvm")
-    features.save_libsvm(_feature_rows(spark, sf_dir), path)
+    features.save_libsvm(_feature_rows(spark, sf_dir)[0], path)
     return features.load_libsvm(spark, path).select("label", F.array_join("idx", " ").alias("slots"))
 
 
@@ -96,13 +96,13 @@ def libsvm_rows(spark, sf_dir):
     "feat",
 )
 def libsvm_text(spark, sf_dir):
-    return _feature_rows(spark, sf_dir).select("row_id", features.libsvm_line().alias("line"))
+    return _feature_rows(spark, sf_dir)[0].select("row_id", features.libsvm_line().alias("line"))
 
 
 @query("parquet_roundtrip", f"select row_id, rating as label, {_SLOTS} as slots from feat group by row_id, rating", "feat")
 def parquet_roundtrip(spark, sf_dir):
     path = new_path(spark, "features")
-    features.save_table(_feature_rows(spark, sf_dir), path)
+    features.save_table(_feature_rows(spark, sf_dir)[0], path)
     return features.load_table(spark, path).select("row_id", "label", F.array_join("idx", " ").alias("slots"))
 
 

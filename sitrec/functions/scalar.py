@@ -19,6 +19,16 @@ def total(parts: Sequence[Column]) -> Column:
     return reduce(add, parts)
 
 
+def plus(parts: Sequence[str]) -> str:
+    """Sum of SQL expressions; wide arithmetic is built as text, one parse instead of many calls."""
+    return " + ".join(parts) if parts else "0D"
+
+
+def known(name: str) -> str:
+    """A number, zero where it is missing, as a SQL expression."""
+    return f"coalesce({name}, 0D)"
+
+
 def clamp(value: Column, low, high) -> Column:
     return F.greatest(F.least(value, F.lit(high)), F.lit(low))
 

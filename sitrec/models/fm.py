@@ -13,7 +13,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitrec.functions.scalar import clamp, sigmoid, total
+from sitrec.functions.scalar import clamp, known, plus, sigmoid
 from sitrec.operators.encoding import ENCODED, block_join
 from sitrec.operators.joins import BROADCAST_BYTES, lookup_join
 
@@ -85,8 +85,9 @@ def factor_columns(k: int) -> list[str]:
 # ---- scoring -----------------------------------------------------------------------------------
 
 
-def pair_term(sums: Sequence[Column], squares: Column) -> Column:
-    return (total([s * s for s in sums]) - squares) / 2
+def pair_term(k: int) -> str:
+    """Pairwise part of the score from the columns ``s0.. , q``."""
+    return f"({plus([f's{f} * s{f}' for f in range(k)])} - q) / 2"
 
 
 def score_sums(
@@ -111,15 +112,14 @@ def score_sums(
         size=model.num_features * 16 * (model.num_factors + 2),
         broadcast_bytes=broadcast_bytes,
     )
-    x = [F.coalesce(F.col(v), F.lit(0.0)) * F.col("val") for v in model.v]
+    x = [f"{known(v)} * val" for v in model.v]
     sums = joined.groupBy(key).agg(
-        F.sum(F.coalesce("w", F.lit(0.0)) * F.col("val")).alias("lin"),
-        *(F.sum(e).alias(f"s{f}") for f, e in enumerate(x)),
-        F.sum(total([e * e for e in x])).alias("q"),
+        F.expr(f"sum({known('w')} * val) as lin"),
+        *(F.expr(f"sum({e}) as s{f}") for f, e in enumerate(x)),
+        F.expr(f"sum({plus([f'{e} * {e}' for e in x])}) as q"),
         *keep,
     )
-    pair = pair_term([F.col(f"s{f}") for f in range(model.num_factors)], F.col("q"))
-    return sums.withColumn("raw", F.lit(model.intercept) + F.col("lin") + pair)
+    return sums.withColumn("raw", F.expr(f"{model.intercept!r}D + lin + {pair_term(model.num_factors)}"))
 
 
 def score_long(long: DataFrame, model: FMModel, key: str = "row_id", output: str = "prediction") -> DataFrame:
@@ -149,8 +149,8 @@ def score_contextual(
     """
     k, kept = model.num_factors, list(df.columns)
 
-    def take(b: int) -> dict[str, Column]:
-        return {f"_w{b}": F.col("w"), **{f"_v{b}_{f}": F.col(v) for f, v in enumerate(model.v)}}
+    def take(b: int) -> list[str]:
+        return [f"w as _w{b}", *(f"{v} as _v{b}_{f}" for f, v in enumerate(model.v))]
 
     joined = block_join(
         df,
@@ -162,19 +162,14 @@ def score_contextual(
         broadcast_bytes=broadcast_bytes,
     )
     blocks = range(len(columns))
-
-    def known(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0.0))
-
     cell = [[known(f"_v{b}_{f}") for b in blocks] for f in range(k)]
-    summed = joined.select(
+    summed = joined.selectExpr(
         *kept,
-        total([known(f"_w{b}") for b in blocks]).alias("lin"),
-        *(total(row).alias(f"s{f}") for f, row in enumerate(cell)),
-        total([c * c for row in cell for c in row]).alias("q"),
+        f"{plus([known(f'_w{b}') for b in blocks])} as lin",
+        *(f"{plus(row)} as s{f}" for f, row in enumerate(cell)),
+        f"{plus([f'{c} * {c}' for row in cell for c in row])} as q",
     )
-    pair = pair_term([F.col(f"s{f}") for f in range(k)], F.col("q"))
-    scored = summed.withColumn("raw", F.lit(model.intercept) + F.col("lin") + pair)
+    scored = summed.withColumn("raw", F.expr(f"{model.intercept!r}D + lin + {pair_term(k)}"))
     scored = scored.withColumn(output, model.link(F.col("raw")))
     return scored if parts else scored.select(*kept, output)
 
@@ -240,16 +235,16 @@ def gradient(long: DataFrame, slopes: DataFrame, model: FMModel, n: int, key: st
         .join(slopes.drop("loss"), key)
         .groupBy("idx")
         .agg(
-            F.sum(F.col("e") * F.col("val")).alias("ex"),
-            F.sum(F.col("e") * F.col("val") * F.col("val")).alias("exx"),
-            *(F.sum(F.col("e") * F.col("val") * F.col(f"s{f}")).alias(f"es{f}") for f in range(k)),
+            F.expr("sum(e * val) as ex"),
+            F.expr("sum(e * val * val) as exx"),
+            *(F.expr(f"sum(e * val * s{f}) as es{f}") for f in range(k)),
         )
     )
     # a feature the model does not have gets no gradient
-    return sums.join(model.factors.select("idx", *model.v), "idx").select(
+    return sums.join(model.factors.select("idx", *model.v), "idx").selectExpr(
         "idx",
-        (F.col("ex") / n).alias("dw"),
-        *(((F.col(f"es{f}") - F.col(v) * F.col("exx")) / n).alias(f"d{v}") for f, v in enumerate(model.v)),
+        f"ex / {n} as dw",
+        *(f"(es{f} - {v} * exx) / {n} as d{v}" for f, v in enumerate(model.v)),
     )
 
 
@@ -271,18 +266,14 @@ def l2_update(
     eta = step / float(iteration) ** 0.5
     joined = model.factors.join(grad, "idx", "left")
 
-    def moved(p: str, r: float) -> Column:
-        return F.col(p) - F.lit(eta) * (F.coalesce(F.col(f"d{p}"), F.lit(0.0)) + F.lit(r) * F.col(p))
+    def moved(p: str, r: float) -> str:
+        return f"{p} - {eta!r}D * ({known('d' + p)} + {float(r)!r}D * {p}) as {p}"
 
-    factors = joined.select(
-        "idx",
-        (moved("w", r1) if k1 else F.col("w")).alias("w"),
-        *(moved(v, r2).alias(v) for v in model.v[:k]),
-    )
+    factors = joined.selectExpr("idx", moved("w", r1) if k1 else "w", *(moved(v, r2) for v in model.v[:k]))
     intercept = model.intercept - eta * (dw0 + r0 * model.intercept) if k0 else model.intercept
-    squares = F.lit(r2) * total([F.col(v) * F.col(v) for v in model.v[:k]])
+    squares = f"{float(r2)!r}D * ({plus([f'{v} * {v}' for v in model.v[:k]])})"
     if k1:
-        squares = squares + F.lit(r1) * F.col("w") * F.col("w")
-    bias = r0 * intercept * intercept if k0 else 0.0
-    penalty = factors.agg(((F.sum(squares) + F.lit(bias)) / 2).alias("penalty"))
+        squares += f" + {float(r1)!r}D * w * w"
+    bias = float(r0 * intercept * intercept) if k0 else 0.0
+    penalty = factors.agg(F.expr(f"(sum({squares}) + {bias!r}D) / 2 as penalty"))
     return replace(model, factors=factors, intercept=intercept), penalty

@@ -38,14 +38,13 @@ def index_table(df: DataFrame, column: str, order: str = "frequencyDesc") -> Dat
 def string_index(df: DataFrame, column: str, output: str, index: DataFrame, spread: Column) -> DataFrame:
     """Add the index of a column's value as a double; NULL for a value not in the index."""
     lookup = index.select(column, F.col("idx").cast("double").alias(output))
-    return lookup_join(df, lookup, column, spread, hot=hot_of_counts(index, column, "n"))
+    return lookup_join(df, lookup, column, spread, hot=lambda: hot_of_counts(index, column, "n"))
 
 
 def index_to_string(df: DataFrame, column: str, output: str, index: DataFrame, label: str, spread: Column) -> DataFrame:
     """The label behind an index column."""
     counted = index.select(F.col("idx").cast("double").alias(column), F.col(label).alias(output), "n")
-    hot = hot_of_counts(counted, column, "n")
-    return lookup_join(df, counted.drop("n"), column, spread, hot=hot)
+    return lookup_join(df, counted.drop("n"), column, spread, hot=lambda: hot_of_counts(counted, column, "n"))
 
 
 def feature_dictionary(df: DataFrame, columns: Sequence[str] = ENCODED) -> DataFrame:
@@ -72,21 +71,28 @@ def block_join(
     dictionary: DataFrame,
     columns: Sequence[str],
     spread: Column,
-    take: Callable[[int], dict[str, Column]],
+    take: Callable[[int], list[str]],
     row_bytes: int = 64,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join every encoded column to its block of a dictionary-shaped table.
 
-    ``take(block)`` names the columns to bring along.  The counts in the table tell which values
+    ``take(block)`` gives the columns to bring along.  The counts in the table tell which values
     are hot, so no further pass over the facts is needed for salting.
     """
     sizes = block_bytes(dictionary, row_bytes)
     for b, c in enumerate(columns):
-        block = dictionary.filter(F.col("block") == b)
-        lookup = block.select(F.col("val").alias(c), *(e.alias(name) for name, e in take(b).items()))
-        hot = hot_of_counts(block, "val", "n").select(F.col("val").alias(c))
-        df = lookup_join(df, lookup, c, spread, hot=hot, size=sizes.get(b, 0), broadcast_bytes=broadcast_bytes)
+        block = dictionary.filter(f"block = {b}")
+        lookup = block.selectExpr(f"val as `{c}`", *take(b))
+        df = lookup_join(
+            df,
+            lookup,
+            c,
+            spread,
+            hot=lambda: hot_of_counts(block, "val", "n").withColumnRenamed("val", c),
+            size=sizes.get(b, 0),
+            broadcast_bytes=broadcast_bytes,
+        )
     return df
 
 
@@ -104,7 +110,7 @@ def encode(
     kept = list(df.columns)
     slots = [f"_slot{b}" for b in range(len(columns))]
     joined = block_join(
-        df, dictionary, columns, spread, lambda b: {slots[b]: F.col("idx")}, broadcast_bytes=broadcast_bytes
+        df, dictionary, columns, spread, lambda b: [f"idx as {slots[b]}"], broadcast_bytes=broadcast_bytes
     )
     coded = joined.select(*kept, F.array_compact(F.array(*slots)).alias("idx"))
     return coded.select(

@@ -7,6 +7,8 @@ their lookup rows copied to each.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,20 +61,21 @@ def lookup_join(
     key: str,
     spread: Column,
     how: str = "left",
-    hot: DataFrame | None = None,
+    hot: Callable[[], DataFrame] | None = None,
     size: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join facts to a lookup on ``key`` (``inner`` or ``left``).
 
-    ``spread`` tells rows of a hot key apart; ``hot`` and ``size`` save a pass when known.  At most
-    ``1 / HOT_SHARE`` keys are hot, so the broadcast flags and the copies are bounded by rule.
+    ``spread`` tells rows of a hot key apart; ``hot`` (asked only when needed) and ``size`` save a
+    pass when known.  At most ``1 / HOT_SHARE`` keys are hot, so the broadcast flags and the copies
+    are bounded by rule.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     if (table_bytes(lookup) if size is None else size) <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), key, how)
-    hot = hot_keys(facts, key) if hot is None else hot
-    left = salted(facts, key, hot, spread)
-    right = replicated(lookup, key, hot)
+    flags = hot_keys(facts, key) if hot is None else hot()
+    left = salted(facts, key, flags, spread)
+    right = replicated(lookup, key, flags)
     return left.join(right, [key, "_salt"], how).drop("_salt")

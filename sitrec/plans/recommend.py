@@ -9,7 +9,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitrec.functions.scalar import total
+from sitrec.functions.scalar import known, plus
 from sitrec.models import als
 from sitrec.models.fm import FMModel, pair_term
 from sitrec.operators.encoding import index_table, string_index
@@ -35,11 +35,16 @@ def request_vector(
     for b, dim in enumerate(contexts, FIRST_CONTEXT_BLOCK):
         if dim in context:
             wanted = wanted | ((F.col("block") == b) & (F.col("val") == F.lit(context[dim])))
-    chosen = dictionary.filter(wanted).join(model.factors, "idx")
-    sums = [F.coalesce(F.sum(v), F.lit(0.0)) for v in model.v]
-    squares = F.coalesce(F.sum(total([F.col(v) * F.col(v) for v in model.v])), F.lit(0.0))
-    base = F.lit(model.intercept) + F.coalesce(F.sum("w"), F.lit(0.0)) + pair_term(sums, squares)
-    return chosen.agg(base.alias("base"), *(s.alias(v) for s, v in zip(sums, model.v)), F.count(F.lit(1)).alias("known"))
+    k = model.num_factors
+    sums = dictionary.filter(wanted).join(model.factors, "idx").selectExpr(
+        f"{known('sum(w)')} as lin",
+        *(f"{known(f'sum({v})')} as s{f}" for f, v in enumerate(model.v)),
+        f"{known('sum(' + plus([f'{v} * {v}' for v in model.v]) + ')')} as q",
+        "count(1) as known",
+    )
+    return sums.selectExpr(
+        f"{model.intercept!r}D + lin + {pair_term(k)} as base", *(f"s{f} as v{f}" for f in range(k)), "known"
+    )
 
 
 def item_vectors(dictionary: DataFrame, model: FMModel) -> DataFrame:
@@ -65,7 +70,7 @@ def score_items(
     vectors = item_vectors(dictionary, model)
     if items is not None:
         vectors = vectors.join(items.select(ITEM), ITEM, "left_semi")
-    raw = F.col("_r.base") + F.col("w") + total([F.col(v) * F.col(f"_r.{v}") for v in model.v])
+    raw = F.expr(f"_r.base + w + {plus([f'{v} * _r.{v}' for v in model.v])}")
     return vectors.withColumn("_r", whole).select(ITEM, model.link(raw).alias("rating"))
 
 
