@@ -20,7 +20,7 @@ from sitrec.functions.scalar import rounded
 from sitrec.models import als
 from sitrec.operators.ordering import top_k, top_k_per
 from sitrec.operators.relational import split_items
-from sitrec.plans import recommend, stages
+from sitrec.plans import batch, recommend, stages
 from sitrec.models.fm_fit import FMSettings
 from sitrec.storage import new_path, written
 
@@ -76,6 +76,30 @@ def context_topk(spark, sf_dir):
     return top_k(good, 10, F.col("rating").desc(), F.col("itemid").asc())
 
 
+@query(
+    "fm_recommend_batch",
+    """, u as (select idx, val as userid from dic where block = 0), i as (select idx, val as itemid from dic where block = 1),
+    c as (select idx from dic where (block = 2 and val = 'Weekend') or (block = 3 and val = 'Home')
+      or (block = 4 and val = 'Family')),
+    p as (select u.userid, i.itemid, unnest([u.idx, i.idx] || (select list(idx) from c)) as idx from u, i),
+    l as (select userid, itemid, sum(w) as lin from p join fw using (idx) group by all),
+    q as (select userid, itemid, f, sum(v) as s, sum(v * v) as q from p join fv using (idx) group by all),
+    sc as (select userid, itemid, round(least(1.0, greatest(-1.0, 0.05 + lin + pair)), 6) + 0.0 as rating
+      from l join (select userid, itemid, sum(s * s - q) / 2 as pair from q group by all) using (userid, itemid))
+    select userid, itemid, rating, rank from (select *,
+      row_number() over (partition by userid order by rating desc, itemid)::int as rank from sc where rating > 0)
+    where rank <= 5""",
+    "dic fw fv",
+)
+def fm_recommend_batch(spark, sf_dir):
+    """The example context for every user."""
+    dictionary, model = dictionary_and_model(spark, sf_dir)
+    users = ratings(spark, sf_dir).select("userid").distinct()
+    asked = users.select(F.col("userid").cast("bigint").alias("request_id"), "userid", *(F.lit(v).alias(c) for c, v in CONTEXT.items()))
+    best = batch.recommend_batch(asked, dictionary, model, k=5)
+    return six(best.withColumn("userid", F.col("request_id").cast("string")).drop("request_id"), "rating")
+
+
 # ---- filtering ---------------------------------------------------------------------------------
 
 _USER_SCORE = """, us as (select itemid, sum(u * i) as rating from ifac
@@ -191,7 +215,7 @@ def als_prefilter(spark, sf_dir):
     df = scaled(spark, sf_dir)
     coded, users, items = recommend.indexed_ratings(df, row())
     coded = written(coded, "indexed")
-    model = als.fit(coded.select(als.USER_I, als.ITEM_I, "rating"), rank=4, iterations=5)
+    model = als.fit(coded.select(als.USER_I, als.ITEM_I, "rating"), rank=4, iterations=5, nonnegative=True)
     return recommend.recommend_prefiltered(coded, recommend.als_factors(model, users, items), USER_ID, CONTEXT)
 
 
@@ -200,7 +224,7 @@ def als_postfilter(spark, sf_dir):
     df = scaled(spark, sf_dir)
     coded, users, items = recommend.indexed_ratings(df, row())
     coded = written(coded, "indexed")
-    model = als.fit(coded.select(als.USER_I, als.ITEM_I, "rating"), rank=4, iterations=5)
+    model = als.fit(coded.select(als.USER_I, als.ITEM_I, "rating"), rank=4, iterations=5, nonnegative=True)
     return recommend.recommend_postfiltered(coded, recommend.als_factors(model, users, items), USER_ID, CONTEXT)
 
 
@@ -209,5 +233,5 @@ def staged_run(spark, sf_dir):
     """Prepare, train and predict with tables between the steps."""
     path = new_path(spark, "run")
     stages.prepare(ratings(spark, sf_dir), path)
-    stages.train(spark, path, FMSettings(iterations=10, init_std=0.1, reg=(0.0, 0.01, 0.01)))
+    stages.train(spark, path, FMSettings(iterations=30, init_std=0.1, reg=(0.0, 0.0, 0.0)))
     return stages.predict(spark, path, USER_ID, CONTEXT)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from sitrec.checks.base import dictionary_and_model, fine, fixed_factors, query, ratings, row, scaled
+from sitrec.checks.base import CONTEXT, dictionary_and_model, fine, fixed_factors, query, ratings, row, scaled
 from sitrec.functions.scalar import rounded
 from sitrec.models import als, evaluate, learners, search
 from sitrec.models.fm import score_contextual
@@ -70,6 +70,16 @@ def als_recommend_items(spark, sf_dir):
     return als.fit(train, rank=4, iterations=3).recommendForAllItems(5)
 
 
+@query("als_recommend_subset")
+def als_recommend_subset(spark, sf_dir):
+    """Lists for the users who rated in the example context."""
+    df = scaled(spark, sf_dir)
+    coded, _, _ = indexed_ratings(df, row())
+    model = als.fit(coded.select(als.USER_I, als.ITEM_I, "rating"), rank=4, iterations=3)
+    chosen = ops.context_filter(coded, CONTEXT).select(als.USER_I).distinct()
+    return model.recommendForUserSubset(chosen, 5)
+
+
 @query("als_tvs")
 def als_tvs(spark, sf_dir):
     train, test = _als_split(spark, sf_dir)
@@ -79,20 +89,9 @@ def als_tvs(spark, sf_dir):
 
 @query("als_search")
 def als_search(spark, sf_dir):
-    """The manual grid as a result table, by validation RMSE."""
-    train, test = _als_split(spark, sf_dir)
-    train, test = train.persist(), test.persist()
-
-    def measure(point, training, validation):
-        model = als.fit(training, rank=point["rank"], reg=point["regParam"], iterations=point["maxIter"])
-        return evaluate.rmse(model.transform(validation)).first()["rmse"]
-
-    points = search.grid_points({"rank": (1, 5), "regParam": (0.1,), "maxIter": (2,)})
-    try:
-        return search.search(spark, points, {0: (train, test)}, measure, label="rating")
-    finally:
-        train.unpersist()
-        test.unpersist()
+    """Explicit and implicit fits in one grid, by validation RMSE."""
+    grid = {"rank": (1, 5), "regParam": (0.1,), "maxIter": (2,), "implicit": (False, True)}
+    return search.als_search(*_als_split(spark, sf_dir), grid)
 
 
 @query("factor_dot", "select userid, itemid, round(prediction, 6) + 0.0 as prediction from pairs", "pairs")

@@ -219,6 +219,15 @@ def unseen_items_ctx(spark, sf_dir):
     return ops.unseen_items(ops.context_filter(fine(spark, sf_dir), CONTEXT), USER_ID)
 
 
+@query(
+    "unseen_items_sql",
+    "select distinct itemid from rat5 where itemid not in (select itemid from rat5 where userid = '8')",
+    "rat5",
+)
+def unseen_items_sql(spark, sf_dir):
+    return ops.unseen_items_sql(fine(spark, sf_dir), USER_ID)
+
+
 # ---- aggregates --------------------------------------------------------------------------------
 
 

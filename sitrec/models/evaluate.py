@@ -33,15 +33,23 @@ def rmse_joined(
     """RMSE of predictions joined to the truth by user and item.
 
     ``matched`` divides by the joined pairs, ``all`` by the rows of the truth (a pair without
-    prediction then adds no error).
+    prediction then adds no error).  Repeated pairs count in all combinations, as in a join, but both
+    sides are summed per pair first: sum (p - r)^2 = n_r sum p^2 - 2 sum p sum r + n_p sum r^2.
     """
     if denominator not in ("matched", "all"):
         raise ValueError("denominator must be 'matched' or 'all'")
-    joined = predictions.join(truth, list(keys))
-    n = F.count(F.lit(1)) if denominator == "matched" else single(truth, F.count(F.lit(1)))
+
+    def per_pair(df: DataFrame, value: str, tag: str) -> DataFrame:
+        x = F.col(value).cast("double")
+        sums = {"n": F.count(x), "s": F.sum(x), "q": F.sum(x * x)}
+        return df.groupBy(*keys).agg(*(e.alias(f"{name}_{tag}") for name, e in sums.items()))
+
+    joined = per_pair(predictions, "prediction", "p").join(per_pair(truth, "rating", "r"), list(keys))
+    error = F.expr("n_r * q_p - 2 * s_p * s_r + n_p * q_r")
+    matched = F.coalesce(F.sum(F.expr("n_p * n_r")), F.lit(0))
+    n = matched if denominator == "matched" else single(truth, F.count(F.lit(1)))
     return joined.agg(
-        F.sqrt(F.try_divide(F.sum(squared("prediction", F.col("rating"))), n)).alias("rmse"),
-        F.count(F.lit(1)).alias("matched"),
+        F.sqrt(F.try_divide(F.greatest(F.sum(error), F.lit(0.0)), n)).alias("rmse"), matched.alias("matched")
     )
 
 

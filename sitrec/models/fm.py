@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitrec.functions.scalar import clamp, known, plus, sigmoid
-from sitrec.operators.encoding import ENCODED, block_join
+from sitrec.operators.encoding import ENCODED, block_bytes, block_join
 from sitrec.operators.joins import BROADCAST_BYTES, lookup_join
 
 REGRESSION, CLASSIFICATION = "regression", "classification"
@@ -158,8 +158,8 @@ def score_contextual(
         columns,
         spread,
         take,
-        row_bytes=64 + 16 * (k + 1),
-        broadcast_bytes=broadcast_bytes,
+        block_bytes(dictionary, 64 + 16 * (k + 1)),
+        broadcast_bytes,
     )
     blocks = range(len(columns))
     cell = [[known(f"_v{b}_{f}") for b in blocks] for f in range(k)]

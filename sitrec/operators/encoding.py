@@ -72,15 +72,14 @@ def block_join(
     columns: Sequence[str],
     spread: Column,
     take: Callable[[int], list[str]],
-    row_bytes: int = 64,
+    sizes: dict[int, int],
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join every encoded column to its block of a dictionary-shaped table.
 
-    ``take(block)`` gives the columns to bring along.  The counts in the table tell which values
-    are hot, so no further pass over the facts is needed for salting.
+    ``take(block)`` gives the columns to bring along, ``sizes`` the bytes of every block.  The counts
+    in the table tell which values are hot, so salting needs no further pass over the facts.
     """
-    sizes = block_bytes(dictionary, row_bytes)
     for b, c in enumerate(columns):
         block = dictionary.filter(f"block = {b}")
         lookup = block.selectExpr(f"val as `{c}`", *take(b))
@@ -109,9 +108,8 @@ def encode(
     """
     kept = list(df.columns)
     slots = [f"_slot{b}" for b in range(len(columns))]
-    joined = block_join(
-        df, dictionary, columns, spread, lambda b: [f"idx as {slots[b]}"], broadcast_bytes=broadcast_bytes
-    )
+    sizes = block_bytes(dictionary)
+    joined = block_join(df, dictionary, columns, spread, lambda b: [f"idx as {slots[b]}"], sizes, broadcast_bytes)
     coded = joined.select(*kept, F.array_compact(F.array(*slots)).alias("idx"))
     return coded.select(
         *kept,

@@ -50,6 +50,17 @@ def unseen_items(ratings: DataFrame, user, user_col: str = "userid", item_col: s
     return items.join(rated, item_col, "left_anti")
 
 
+def unseen_items_sql(ratings: DataFrame, user: str) -> DataFrame:
+    """The same as a SQL statement over the table, for a ``userid, itemid`` table."""
+    return ratings.sparkSession.sql(
+        """select distinct itemid from {ratings}
+        left anti join (select itemid from {ratings} where userid = :user) using (itemid)
+        where itemid is not null""",
+        args={"user": user},
+        ratings=ratings,
+    )
+
+
 # ---- splits ------------------------------------------------------------------------------------
 
 # Shares of the three-way split in tenths.
