@@ -40,9 +40,3 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, for tables that a loop replaces in every step."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
