@@ -208,6 +208,19 @@ def kmeans_step(spark, sf_dir):
     return six(learners.move_centres(learners.assign_clusters(df, "embedding", CENTRES), "embedding"), "value")
 
 
+@query(
+    "kmeans_cost",
+    """, d as (select vec_id, c, sum(pow(x - ((dim * 7 + c * 13) % 11 - 5) / 50.0, 2)) as cost
+      from emb, (select unnest([0, 1]) as c) group by vec_id, c),
+    a as (select vec_id, arg_min(c, cost) as cluster, min(cost) as cost from d group by vec_id)
+    select cluster::int as cluster, count(*) as n, round(sum(cost), 6) + 0.0 as cost from a group by cluster""",
+    "emb",
+)
+def kmeans_cost(spark, sf_dir):
+    df = tables.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return six(learners.cluster_cost(learners.assign_clusters(df, "embedding", CENTRES)), "cost")
+
+
 # ---- evaluation --------------------------------------------------------------------------------
 
 

@@ -186,6 +186,19 @@ def context_filter(spark, sf_dir):
     return ops.context_filter(fine(spark, sf_dir), CONTEXT).select("row_id", "userid", "itemid", "rating")
 
 
+@query(
+    "in_contexts",
+    """select row_id, userid, itemid, rating from rat where ("Time", "Location", "Companion") in
+    (select ("Time", "Location", "Companion") from rat where userid = '8' and rating >= 4)""",
+    "rat",
+)
+def in_contexts(spark, sf_dir):
+    """All ratings given in a context that the example user liked something in."""
+    df = ratings(spark, sf_dir)
+    wanted = df.filter((F.col("userid") == USER_ID) & (F.col("rating") >= 4))
+    return ops.in_contexts(df, wanted).select("row_id", "userid", "itemid", "rating")
+
+
 @query(
     "known_context",
     """select row_id, userid, itemid, rating from rat

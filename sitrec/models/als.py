@@ -46,6 +46,15 @@ def als(
     )
 
 
+def mean_pairs(ratings: DataFrame) -> DataFrame:
+    """One row per user and item, the mean of its ratings.
+
+    ALS holds all ratings of a user in one block.  Averaging first bounds a user to one row per item,
+    at the price of giving repeated ratings the weight of one.
+    """
+    return ratings.groupBy(USER_I, ITEM_I).agg(F.avg("rating").alias("rating"))
+
+
 def fit(ratings: DataFrame, **settings) -> ALSModel:
     shared_folder(ratings.sparkSession)
     return als(**settings).fit(ratings)

@@ -87,6 +87,11 @@ def assign_clusters(df: DataFrame, array: str, centres: Sequence[Sequence[float]
     )
 
 
+def cluster_cost(assigned: DataFrame) -> DataFrame:
+    """``cluster, n, cost``: sum of squared distances to the centre."""
+    return assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("cost").alias("cost"))
+
+
 def move_centres(assigned: DataFrame, array: str) -> DataFrame:
     """``cluster, dim, value, n``: the mean of every cluster, the update half of a k-means step."""
     slots = assigned.select("cluster", F.posexplode(F.col(array).cast("array<double>")).alias("dim", "x"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sitrec.functions.scalar import rescale, single
 from sitrec.sources.ratings import CONTEXTS, UNKNOWN_CONTEXT
+from sitrec.storage import written
 
 
 # ---- filters -----------------------------------------------------------------------------------
@@ -27,6 +28,11 @@ def context_filter(df: DataFrame, context: Mapping[str, str]) -> DataFrame:
     return df.filter(context_matches(context))
 
 
+def in_contexts(df: DataFrame, wanted: DataFrame, contexts: Sequence[str] = CONTEXTS) -> DataFrame:
+    """Rows whose context is one of those in a table of requests."""
+    return df.join(wanted.select(*contexts).distinct(), list(contexts), "left_semi").select(*df.columns)
+
+
 def known_context(df: DataFrame, contexts: Sequence[str] = CONTEXTS) -> DataFrame:
     return df.filter(reduce(and_, (F.col(c) != UNKNOWN_CONTEXT for c in contexts)))
 
@@ -119,6 +125,11 @@ def rescale_ratings(df: DataFrame, rating: str = "rating") -> DataFrame:
     return df.withColumn(rating, rescale(F.col(rating), span["lo"], span["hi"]))
 
 
+def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
+    """A row number for tables without a key, written with the rows so that it never changes."""
+    return written(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def split_items(df: DataFrame, contexts: Sequence[str] = CONTEXTS, item: str = "itemid") -> DataFrame:
     """Item splitting: the item together with its context becomes the item."""
     return df.withColumn(item, F.concat_ws("\t", item, *contexts))

@@ -399,6 +399,30 @@ def test_filters_around_als(spark):
         assert got[r.itemid] == pytest.approx(r.prediction, abs=1e-5)
 
 
+def test_mean_of_repeated_pairs(spark):
+    df = spark.createDataFrame([(1, 2, 4.0), (1, 2, 2.0), (1, 3, 5.0)], "useridI int, itemidI int, rating double")
+    assert sorted(map(tuple, als.mean_pairs(df).collect())) == [(1, 2, 3.0), (1, 3, 5.0)]
+
+
+@pytest.mark.parametrize("sizes", [(1024, 16384), (2, 3)])
+def test_batch_lists_equal_single_requests(spark, sizes):
+    """Small chunks and blocks, so that several of both meet; tied scores go by item."""
+    from sitrec.plans.batch import recommend_batch
+
+    df = rated(spark)
+    dictionary = feature_dictionary(df)
+    n = dictionary.count()
+    rng = np.random.default_rng(8)
+    model = model_of(spark, 0.3, rng.normal(0, 0.5, n).round(1), np.zeros((n, 2)), low=-0.5, high=0.5)
+    requests = spark.createDataFrame([(u, f"u{u}", *REQUEST.values()) for u in range(12)] + [(99, "nobody", "x", "y", "z")], "request_id bigint, userid string, Time string, Location string, Companion string")
+    got = recommend_batch(requests, dictionary, model, 4, chunk=sizes[0], block=sizes[1]).collect()
+    for request, user, context in [(3, "u3", REQUEST), (11, "u11", REQUEST), (99, "nobody", {"Time": "x"})]:
+        want = recommend.recommend_by_model(dictionary, model, user, context).limit(4).collect()
+        mine = sorted((r for r in got if r.request_id == request), key=lambda r: r["rank"])
+        assert [r.itemid for r in mine] == [r.itemid for r in want]
+        assert [r.rating for r in mine] == pytest.approx([r.rating for r in want])
+
+
 def test_als_save_and_load(spark):
     coded, _, _ = recommend.indexed_ratings(rated(spark), F.col("row_id"))
     model, path = als.fit(coded, rank=2, iterations=2), new_path(spark, "als")

@@ -51,10 +51,10 @@ def test_load_ratings_takes_named_columns_only(spark):
 
 def test_header_line_of_plain_ratings(spark):
     path = new_path(spark, "csv")
-    lines(spark, path, "userId,movieId,rating,timestamp", "1,31,2.5,1260759144")
-    assert readers.load_plain_ratings(spark, path, header=True).collect() == [(1, 31, 2.5)]
+    lines(spark, path, "user,item,rating,seconds", "4,17,3.5,1700000000")
+    assert readers.load_plain_ratings(spark, path, header=True).collect() == [(4, 17, 3.5)]
     assert (None, None, None) in [tuple(r) for r in readers.load_plain_ratings(spark, path).collect()]
-    assert readers.load_timed_ratings(spark, path, header=True).collect() == [(1, 31, 2.5, 1260759144)]
+    assert readers.load_timed_ratings(spark, path, header=True).collect() == [(4, 17, 3.5, 1700000000)]
 
 
 def test_delimited_lines(spark):
@@ -67,9 +67,9 @@ def test_delimited_lines(spark):
 
 
 def test_quoted_commas(spark):
-    df = spark.createDataFrame([('5,"Heat, The (1995)",Drama',)], "line string")
+    df = spark.createDataFrame([('5,"ring, red","a ""b"" c"',)], "line string")
     got = readers.parse_quoted(df, "line", "id int, name string, genre string").first()
-    assert (got.id, got.name, got.genre) == (5, "Heat, The (1995)", "Drama")
+    assert (got.id, got.name, got.genre) == (5, "ring, red", 'a "b" c')
 
 
 def test_libsvm_text_and_back(spark):
@@ -239,6 +239,18 @@ def test_pivot_and_limits(spark):
         relational.few_values(df, ["itemid"], most=2)
 
 
+def test_row_ids_are_written_once(spark):
+    df = relational.with_row_id(table(spark).drop("row_id").repartition(4))
+    first = column(df, "row_id", "userid", "itemid")
+    assert first == column(df, "row_id", "userid", "itemid") and len({r[0] for r in first}) == 6
+
+
+def test_rows_in_wanted_contexts(spark):
+    df = table(spark)
+    wanted = spark.createDataFrame([("Weekend", "Home", "Family"), ("Weekend", "Home", "Family"), ("x", "y", "z")], "Time string, Location string, Companion string")
+    assert column(relational.in_contexts(df, wanted), "row_id") == [(1,), (4,), (6,)]
+
+
 def test_roll_up_and_stats(spark):
     events = spark.createDataFrame([("u", "i", 2, 1.5), ("u", "i", 5, 1.0), ("u", "j", 1, 3.0)], "userid string, itemid string, Weight int, Value double")
     assert column(relational.roll_up(events, ["userid", "itemid"]), "itemid", "rating") == [("i", 8.0), ("j", 3.0)]
