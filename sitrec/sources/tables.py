@@ -7,7 +7,7 @@ still reach Parquet.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitrec.sources.ratings import UNKNOWN_CONTEXT
@@ -22,34 +22,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _choose(column: str, values: dict, otherwise) -> Column:
-    picked = F
-    for key, value in values.items():
-        picked = picked.when(F.col(column) == key, F.lit(value))
-    return picked.otherwise(F.lit(otherwise))
+def _choose(column: str, values: dict, otherwise) -> str:
+    branches = " ".join(f"when {key!r} then {value!r}" for key, value in values.items())
+    return f"case {column} {branches} else {otherwise!r} end"
 
 
-def epoch_seconds(ts: str) -> Column:
+def epoch_seconds(ts: str) -> str:
     """Whole seconds since 1970 of a zone-less timestamp, whatever the session zone is."""
-    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
-    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return (
+        f"cast(datediff(to_date({ts}), date'1970-01-01') as bigint) * 86400 "
+        f"+ hour({ts}) * 3600 + minute({ts}) * 60 + second({ts})"
+    )
 
 
 def contextual_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratings 1-5 with Time, Location and Companion, one row per event."""
-    error = F.col("event_type") == "error"
-    unknown = F.lit(UNKNOWN_CONTEXT)
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("row_id"),
-        F.col("user_id").cast("string").alias("userid"),
-        F.get_json_object("props", "$.k").alias("itemid"),
-        (F.lit(1.0) + sum(F.when(F.col("value") >= s, 1.0).otherwise(0.0) for s in RATING_STEPS)).alias("rating"),
-        F.when(error, unknown).when(F.weekday("ts") >= 5, "Weekend").otherwise("Weekday").alias("Time"),
-        F.when(error, unknown).when(F.hour("ts") < 12, "Home").otherwise("Cinema").alias("Location"),
-        _choose("event_type", COMPANIONS, UNKNOWN_CONTEXT).alias("Companion"),
-        epoch_seconds("ts").alias("ts_s"),
-        F.col("value"),
-        F.col("event_type"),
+    steps = " + ".join(f"if(value >= {s}, 1D, 0D)" for s in RATING_STEPS)
+    unknown = f"when event_type = 'error' then '{UNKNOWN_CONTEXT}'"
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id as row_id",
+        "cast(user_id as string) as userid",
+        "get_json_object(props, '$.k') as itemid",
+        f"1D + {steps} as rating",
+        f"case {unknown} when weekday(ts) >= 5 then 'Weekend' else 'Weekday' end as Time",
+        f"case {unknown} when hour(ts) < 12 then 'Home' else 'Cinema' end as Location",
+        f"{_choose('event_type', COMPANIONS, UNKNOWN_CONTEXT)} as Companion",
+        f"{epoch_seconds('ts')} as ts_s",
+        "value",
+        "event_type",
     )
 
 
@@ -60,9 +60,9 @@ def finer_items(ratings: DataFrame) -> DataFrame:
 
 
 def weighted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weight = _choose("event_type", EVENT_WEIGHTS, 0)
-    return contextual_ratings(spark, sf_dir).select(
-        "userid", "itemid", "Time", "Location", "Companion", weight.alias("Weight"), F.col("value").alias("Value")
+    weight = f"{_choose('event_type', EVENT_WEIGHTS, 0)} as Weight"
+    return contextual_ratings(spark, sf_dir).selectExpr(
+        "userid", "itemid", "Time", "Location", "Companion", weight, "value as Value"
     )
 
 
