@@ -223,6 +223,14 @@ def hashing_tf(spark, sf_dir):
     return features.long_features(features.vector_parts(df), "doc_id")
 
 
+@query("hashing_tf_mass", "select doc_id, count(*)::double as n from tok group by doc_id", "tok")
+def hashing_tf_mass(spark, sf_dir):
+    """Hashing moves terms to buckets and loses none: the buckets of a text add up to its tokens."""
+    df = text.hashing_tf(_words(spark, sf_dir), 20)
+    mass = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda total, x: total + x)
+    return df.select("doc_id", mass.alias("n"))
+
+
 @query("word2vec")
 def word2vec(spark, sf_dir):
     df = _words(spark, sf_dir)

@@ -40,6 +40,16 @@ def als_fit(spark, sf_dir):
     return _als_test(spark, sf_dir, rank=4, iterations=5)
 
 
+@query("als_quality", "select count(*) as n, true as better from resc", "resc")
+def als_quality(spark, sf_dir):
+    """Fitted on all ratings, every row is predicted, and better than by the mean rating."""
+    coded, _, _ = indexed_ratings(scaled(spark, sf_dir), row())
+    coded = coded.select(als.USER_I, als.ITEM_I, "rating")
+    scored = als.fit(coded, rank=8, iterations=8, reg=0.05).transform(coded)
+    error = F.avg(F.pow(F.col("prediction") - F.col("rating"), F.lit(2.0)))
+    return scored.agg(F.count("prediction").alias("n"), (error < F.var_pop("rating")).alias("better"))
+
+
 @query("als_nonnegative")
 def als_nonnegative(spark, sf_dir):
     return _als_test(spark, sf_dir, rank=4, iterations=3, nonnegative=True)

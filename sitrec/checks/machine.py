@@ -174,6 +174,17 @@ def fm_lbfgs(spark, sf_dir):
     return _train(spark, sf_dir, fm_train_lbfgs, iterations=20, reg=(0.0, 0.01, 0.01))
 
 
+@query("fm_lbfgs_quality", "select count(*) as n, true as inside, true as better from resc", "resc")
+def fm_lbfgs_quality(spark, sf_dir):
+    """Every row is predicted inside the label range, and better than by the mean rating."""
+    scored = fm_lbfgs(spark, sf_dir)
+    inside = F.min(F.col("prediction").between(-1.0, 1.0))
+    error = F.avg(F.pow(F.col("prediction") - F.col("label"), F.lit(2.0)))
+    return scored.agg(
+        F.count("prediction").alias("n"), inside.alias("inside"), (error < F.var_pop("label")).alias("better")
+    )
+
+
 @query("fm_lbfgs_table")
 def fm_lbfgs_table(spark, sf_dir):
     """The form for parameters that do not fit one machine."""

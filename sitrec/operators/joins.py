@@ -42,9 +42,9 @@ def hot_of_counts(counts: DataFrame, key: str, n: str, share: float = HOT_SHARE)
 
 
 def salted(df: DataFrame, key: str, hot: DataFrame, spread: Column, salts: int = SALTS) -> DataFrame:
-    """Add ``_salt``: 0 for ordinary keys, one of ``salts`` values by ``spread`` for hot ones."""
+    """Add ``_salt``: 0 for ordinary keys, one of ``salts`` values by ``spread`` for hot and missing ones."""
     flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    salt = F.when(F.col("_hot"), F.pmod(F.hash(spread), F.lit(salts))).otherwise(F.lit(0))
+    salt = F.when(F.col("_hot") | F.col(key).isNull(), F.pmod(F.hash(spread), F.lit(salts))).otherwise(F.lit(0))
     return flagged.withColumn("_salt", salt).drop("_hot")
 
 

@@ -159,6 +159,15 @@ def test_hot_key_is_spread(spark):
     assert spread.agg(F.max("count")).first()[0] < 100
 
 
+def test_missing_keys_are_spread_and_kept(spark):
+    facts = spark.range(900).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("k"))
+    lookup = spark.createDataFrame([(i, i) for i in range(7)], "k bigint, x int")
+    spread = joins.salted(facts, "k", joins.hot_keys(facts, "k"), F.col("id")).filter("k is null")
+    assert spread.select("_salt").distinct().count() > 32
+    joined = joins.lookup_join(facts, lookup, "k", F.col("id"), broadcast_bytes=-1)
+    assert joined.count() == 900 and joined.filter("x is null").count() == 300
+
+
 def test_table_bytes_counts_text(spark):
     small = spark.createDataFrame([("ab", 1)], "k string, x int")
     assert joins.table_bytes(small) == 2 + 32
