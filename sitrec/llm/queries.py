@@ -1,4 +1,4 @@
 """Importing this module registers every query of the subpackage."""
 
-from sitrec.llm import q_exact_dedup, q_mixing  # noqa: F401
+from sitrec.llm import q_exact_dedup, q_mixing, q_packing  # noqa: F401
 from sitrec.llm.registry import QUERIES, SQL  # noqa: F401
