@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sitrec.llm.columns import quoted, text_or_empty
 from sitrec.llm.word_tokens import WordEncoder, byte_slices, text_array, tokenizer_path
@@ -134,7 +135,7 @@ def pack_documents(
         raise ValueError("capacity must be at least 1")
     table = written(pieces(docs, capacity, end_id, path or tokenizer_path(), text, doc_id, with_ids), "pieces")
     groups = max(1, -(-table.count() // GROUP))
-    schema = table.schema.add("sequence_id", "long").add("offset", "long")
+    schema = T.StructType(list(table.schema)).add("sequence_id", "long").add("offset", "long")
 
     def pack(group: pa.Table) -> pa.Table:
         # rows come in any order after a shuffle; their number makes the packing repeatable

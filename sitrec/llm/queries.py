@@ -1,4 +1,13 @@
 """Importing this module registers every query of the subpackage."""
 
-from sitrec.llm import q_exact_dedup, q_fertility, q_mixing, q_packing, q_piece_counts, q_simhash, q_token_files  # noqa: F401
+from sitrec.llm import (  # noqa: F401
+    q_exact_dedup,
+    q_fertility,
+    q_language,
+    q_mixing,
+    q_packing,
+    q_piece_counts,
+    q_simhash,
+    q_token_files,
+)
 from sitrec.llm.registry import QUERIES, SQL  # noqa: F401
