@@ -7,6 +7,7 @@ from sitrec.llm import (  # noqa: F401
     q_mixing,
     q_packing,
     q_piece_counts,
+    q_quality_fm,
     q_simhash,
     q_token_files,
 )
