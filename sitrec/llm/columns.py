@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitrec.storage import written
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -35,3 +37,13 @@ def ascii_lower(text: Column) -> Column:
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept back from every fit: crc32 of its id, as text, leaves 2 modulo 4."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def repeatable(df: DataFrame) -> DataFrame:
+    """``df`` in a form that gives its rows in the same order each time it is read.
+
+    A scan does.  After a shuffle the order of rows may change with the columns that are asked for, so such
+    a frame is written once.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return written(df, "rows") if "Exchange" in plan else df

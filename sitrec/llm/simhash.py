@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitrec.llm.columns import quoted, text_or_empty, without
+from sitrec.llm.columns import quoted, repeatable, text_or_empty, without
 from sitrec.llm.components import connected_components
 from sitrec.llm.word_tokens import byte_slices, text_array
 from sitrec.storage import written
@@ -167,8 +167,7 @@ def near_classes(
     ``distance`` differing bits are linked, and documents reach each other through links.
     ``component_id`` is the smallest id a document reaches; null ids are ignored, and it is null if there
     are no others.  Exactly one row of each component is ``kept``: of the rows with the smallest id (null
-    ids last) the first in the input, which must give its rows in the same order again; ``_row`` is that
-    order.  A null text is an empty one.  Rows that repeat an id are separate rows.  An empty table gives no rows.
+    ids last) the first in the order of the input, ``_row``.  A null text is an empty one.  Rows that repeat an id are separate rows.  An empty table gives no rows.
 
     Texts do not move.  Copies are summed up to one node first; only distinct fingerprints are indexed.
     """
@@ -196,7 +195,7 @@ def near_classes(
 
 def near_dedup(docs: DataFrame, **how) -> DataFrame:
     """Rows of ``docs`` that ``near_classes`` keeps, with all their columns but for clashing ones (``_row``)."""
-    kept = written(near_classes(docs, **how).where("kept").select("_row"), "kept")
-    clean = without(docs, ["_row"])
+    clean = repeatable(without(docs, ["_row"]))
+    kept = written(near_classes(clean, **how).where("kept").select("_row"), "kept")
     columns = [quoted(c) for c in clean.columns]
     return clean.select(*columns, F.monotonically_increasing_id().alias("_row")).join(kept, "_row", "left_semi").select(*columns)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitrec.llm.columns import quoted, text_or_empty
+from sitrec.llm.columns import quoted, repeatable, text_or_empty
 from sitrec.llm.joins import with_group
 from sitrec.llm.word_tokens import byte_slices, gathered, text_array
 from sitrec.storage import written
@@ -451,12 +451,13 @@ def suffix_dedup(
     Every byte that lies in a string of ``length`` bytes which also starts elsewhere, in the same or another text,
     is removed; strings are judged on the input.  ``spans`` are the maximal removed runs, ``kept`` the other
     bytes.  A null text is empty; shorter texts stay whole.  Rows that repeat an id or are equal are texts of
-    their own, so equal texts of ``length`` bytes or more lose everything.  Other columns are not carried.  ``docs``
-    must give its rows in the same order again.  An empty table gives no rows.
+    their own, so equal texts of ``length`` bytes or more lose everything.  Other columns are not carried.  An
+    empty table gives no rows.
     """
     kind = docs.select(quoted(doc_id)).schema[0].dataType.simpleString()
     whole = text_or_empty(text)
-    rows = docs.select(quoted(doc_id).alias("doc_id"), whole.alias("text"), F.monotonically_increasing_id().alias("_row"))
+    rows = repeatable(docs.select(quoted(doc_id).alias("doc_id"), whole.alias("text")))
+    rows = rows.withColumn("_row", F.monotonically_increasing_id())
     spans = repeated_spans(rows.select("_row", "text"), length, gram, many)
     by_row = written(spans.groupBy("_row").agg(F.collect_list(F.struct("begin", "end")).alias("spans")), "spans")
     joined = rows.join(by_row.hint("merge"), "_row", "left").select("doc_id", "text", "spans")
