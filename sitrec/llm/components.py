@@ -31,7 +31,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Each round is written, so a lost executor costs one round at most.  The number of rounds grows with
     the logarithm of the largest component; a node's edges are summed up before they move.
     """
-    table, seen = written(edges.select("u", "v").where("u <> v").distinct(), "edges"), None
+    table, seen = edges.select("u", "v").where("u <> v"), None
     while True:
         table = written(_stars(_stars(table, True), False), "edges")
         now = table.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sitrec.llm.columns import quoted, repeatable, text_or_empty, without
 from sitrec.llm.components import connected_components
+from sitrec.llm.joins import with_group
 from sitrec.llm.word_tokens import byte_slices, text_array
 from sitrec.storage import written
 
@@ -39,7 +40,7 @@ def _word_blocks(text: bytes, shingle: int) -> Iterator[list[bytes]]:
             kept = words
 
 
-def _hashes(words: list[bytes], shingle: int) -> np.ndarray:
+def _hashes(words: list[bytes], shingle: int, seed: int) -> np.ndarray:
     from xxhash import xxh64_intdigest
 
     if not words:
@@ -50,43 +51,53 @@ def _hashes(words: list[bytes], shingle: int) -> np.ndarray:
     n = max(1, len(words) - shingle + 1)
     lasts = ends[min(shingle, len(words)) - 1 :]
     pairs = zip(starts[:n].tolist(), lasts.tolist())
-    return np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in pairs), ">u8", n)
+    return np.fromiter((xxh64_intdigest(joined[a:b], seed) for a, b in pairs), ">u8", n)
 
 
-def fingerprint(text: bytes, shingle: int = 4) -> int:
-    """Bits that more than half of the shingles' hashes have; A-Z are taken in lower case."""
-    counts, total = np.zeros(BITS, np.int64), 0
-    fresh = True
-    for words in _word_blocks(text.lower(), shingle):
-        if not fresh and len(words) < shingle:
+def fingerprint(text: bytes, shingle: int = 4, words: int = 1) -> tuple[list[int], int]:
+    """Bits that more than half of the shingles' hashes have, 64 for each seed, and the number of shingles.
+
+    A-Z are taken in lower case.
+    """
+    counts, total = np.zeros((words, BITS), np.int64), 0
+    for block in _word_blocks(text.lower(), shingle):
+        if total and len(block) < shingle:
             continue  # all of them belong to shingles counted before
-        hashes = _hashes(words, shingle)
-        fresh = False
+        for k in range(words):
+            hashes = _hashes(block, shingle, SEED + k)
+            for at in range(0, len(hashes), 1 << 16):
+                some = hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
+                counts[k] += np.unpackbits(some, axis=1).sum(axis=0, dtype=np.int64)
         total += len(hashes)
-        for at in range(0, len(hashes), 1 << 16):
-            some = hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
-            counts += np.unpackbits(some, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > total).tobytes(), "big")
+    bits = np.packbits(2 * counts > total, axis=1)
+    return [int.from_bytes(row.tobytes(), "big") for row in bits], total
 
 
-def fingerprints(docs: DataFrame, shingle: int, text: str, keys: dict[str, Column]) -> DataFrame:
-    """The columns ``keys`` and ``fp``, the fingerprint as a signed long, of every row."""
+def fingerprints(docs: DataFrame, shingle: int, words: int, text: str, keys: dict[str, Column]) -> DataFrame:
+    """The columns ``keys``, ``f0, f1, ...`` with 64 bits each as signed longs, and ``shingles``, of every row."""
     table = docs.select(*(c.alias(k) for k, c in keys.items()), text_or_empty(text).alias("_text"))
-    schema, names = table.drop("_text").schema.add("fp", "long"), [*keys, "fp"]
+    names = [*keys, *_parts(words), "shingles"]
+    schema = table.drop("_text").schema
+    for name in names[len(keys) :]:
+        schema = schema.add(name, "long")
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = text_array(batch.column(batch.num_columns - 1))
-            marks = np.empty(len(texts), np.uint64)
+            marks = np.empty((words + 1, len(texts)), np.uint64)
             for begin, part in byte_slices(texts):
                 for i, t in enumerate(part.cast(pa.binary()).to_pylist()):
-                    marks[begin + i] = fingerprint(t, shingle)
+                    marks[:words, begin + i], marks[words, begin + i] = fingerprint(t, shingle, words)
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(marks.view(np.int64))], names=names)
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(m.view(np.int64)) for m in marks)], names=names)
 
     return table.mapInArrow(mark, schema)
 
 
+def _parts(words: int) -> list[str]:
+    return [f"f{k}" for k in range(words)]
+
+
 def segments(distance: int, bits: int = BITS) -> list[tuple[int, int]]:
     """(first bit, width) of the fewest segments one of which differs by one bit at most."""
     n = distance // 2 + 1
@@ -95,23 +106,23 @@ def segments(distance: int, bits: int = BITS) -> list[tuple[int, int]]:
 
 
 def _variants(nodes: DataFrame, distance: int) -> DataFrame:
-    """A row for each bit: ``key`` is the segment of that bit with the bit deleted."""
+    """A row for each bit of ``f0``: ``key`` is that bit and its segment without it."""
     keys = []
-    for a, width in segments(distance):
-        for bit in range(a, a + width):
-            mask = ((1 << width) - 1) << a & ~(1 << bit)
-            signed = mask - (1 << 64) if mask >> 63 else mask
-            keys.append(F.struct(F.lit(bit).cast("byte").alias("bit"), F.col("fp").bitwiseAND(F.lit(signed)).alias("rest")))
-    return nodes.select("*", F.explode(F.array(*keys)).alias("key")).select(*nodes.columns, "key.bit", "key.rest")
+    for first, width in segments(distance):
+        part = F.shiftrightunsigned("f0", first).bitwiseAND(F.lit((1 << width) - 1))
+        for bit in range(width):
+            keys.append(part.bitwiseAND(F.lit(~(1 << bit))).bitwiseOR(F.lit((first + bit) << 32)))
+    return nodes.select("*", F.explode(F.array(*keys)).alias("key"))
 
 
-def _differ(a: str, b: str) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+def _differ(words: int, a: str, b: str) -> Column:
+    counts = [F.bit_count(F.col(f"{a}{k}").bitwiseXOR(F.col(f"{b}{k}"))) for k in range(words)]
+    return sum(counts[1:], counts[0])
 
 
 def _chosen_bit(distance: int) -> Column:
-    """Of all variants that the fingerprints ``a`` and ``b`` share, the one at which their link is written."""
-    differing = F.col("a").bitwiseXOR(F.col("b"))
+    """Of all variants that the fingerprints ``a0`` and ``b0`` share, the bit of the one their link is written at."""
+    differing = F.col("a0").bitwiseXOR(F.col("b0"))
     choice = F.lit(None).cast("int")
     for first, width in reversed(segments(distance)):
         part = F.shiftrightunsigned(differing, first).bitwiseAND(F.lit((1 << width) - 1))
@@ -121,75 +132,92 @@ def _chosen_bit(distance: int) -> Column:
     return choice
 
 
-def linked_classes(nodes: DataFrame, distance: int) -> DataFrame:
-    """``fp, root`` for distinct fingerprints; the root is one of the fingerprints they can be reached from.
+def linked_classes(nodes: DataFrame, words: int, distance: int, index_distance: int) -> DataFrame:
+    """``id, root`` for nodes ``id, f0, f1, ...``; the root is one of the ids they can be reached from.
 
-    First each variant's members are compared with the smallest of them only, and what that links is
-    one class.  Then only variants whose members are of several classes are joined with themselves, and
-    only pairs of different classes are verified.  A dense group of near copies has become one class by
-    then, so its pairs are never formed.  Members are compared in the join, so only links become rows.
+    First each variant's members are compared with one of them only, and what that links is one class.  Then
+    only variants whose members are of several classes are joined with themselves, and only pairs of
+    different classes are verified.  A dense group of near copies has become one class by then, so its pairs
+    are never formed.  Members are compared in the join, so only links become rows.
     """
-    variants = _variants(nodes.select("fp"), distance)
-    key = ["bit", "rest"]
-    least = variants.groupBy(*key).agg(F.min("fp").alias("m"), F.max("fp").alias("most")).where("m <> most")
-    star = variants.join(least.drop("most").hint("merge"), key).where(
-        (F.col("fp") != F.col("m")) & (_differ("fp", "m") <= distance)
+    parts = _parts(words)
+    variants = _variants(nodes.select("id", *parts), index_distance)
+    rest = [F.min_by(f, "f0").alias(f"m{k}") for k, f in enumerate(parts) if k]
+    least = variants.groupBy("key").agg(
+        F.min("f0").alias("m0"), *rest, F.min_by("id", "f0").alias("m"), F.count("*").alias("n")
+    )
+    star = variants.join(least.where("n > 1").drop("n").hint("merge"), "key").where(
+        (F.col("id") != F.col("m")) & (_differ(words, "f", "m") <= distance)
     )
-    star = written(star.select(F.col("m").alias("u"), F.col("fp").alias("v")).distinct(), "links")
-    first = written(connected_components(star), "classes")
-    classed = nodes.select("fp").join(first.select(F.col("node").alias("fp"), "root"), "fp", "left")
-    classed = written(classed.select("fp", F.coalesce("root", "fp").alias("root")), "classes")
-
-    variants = _variants(classed, distance)
-    mixed = variants.groupBy(*key).agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
-    members = written(variants.join(mixed.select(*key).hint("merge"), key), "members")
-    left = members.select(*key, F.col("fp").alias("a"), F.col("root").alias("ra"))
-    right = members.select(*key, F.col("fp").alias("b"), F.col("root").alias("rb"))
+    star = written(star.select(F.col("m").alias("u"), F.col("id").alias("v")).distinct(), "links")
+    first = connected_components(star)
+    classed = nodes.select("id", *parts).join(first.select(F.col("node").alias("id"), "root"), "id", "left")
+    classed = written(classed.select("id", *parts, F.coalesce("root", "id").alias("root")), "classes")
+
+    variants = _variants(classed.drop("id"), index_distance)
+    mixed = variants.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
+    members = variants.join(mixed.select("key").hint("merge"), "key")
+
+    def side(name: str) -> DataFrame:
+        columns = [F.col(f).alias(f"{name}{k}") for k, f in enumerate(parts)]
+        return members.select("key", *columns, F.col("root").alias(f"r{name}"))
+
+    bit = F.shiftright("key", 32)
     crossing = (
-        left.hint("merge")
-        .join(right, key)
-        .where("a < b and ra <> rb")
-        .where((_differ("a", "b") <= distance) & (F.col("bit") == _chosen_bit(distance)))
+        side("a")
+        .hint("merge")
+        .join(side("b"), "key")
+        .where("ra < rb")
+        .where((_differ(words, "a", "b") <= distance) & (bit == _chosen_bit(index_distance)))
     )
-    links = crossing.select(F.least("ra", "rb").alias("u"), F.greatest("ra", "rb").alias("v")).distinct()
-    second = written(connected_components(links), "classes")
+    links = written(crossing.select(F.col("ra").alias("u"), F.col("rb").alias("v")).distinct(), "links")
+    second = connected_components(links)
     joined = classed.join(second.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
-    return joined.select("fp", F.coalesce("top", "root").alias("root"))
+    return joined.select("id", F.coalesce("top", "root").alias("root"))
 
 
 def near_classes(
-    docs: DataFrame, distance: int = 4, shingle: int = 4, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame,
+    distance: int = 4,
+    shingle: int = 4,
+    words: int = 1,
+    index_distance: int | None = None,
+    least_shingles: int = 0,
+    text: str = "text",
+    doc_id: str = "doc_id",
 ) -> DataFrame:
     """``doc_id, fingerprint, component_id, kept`` and ``_row`` for every row of ``docs``.
 
-    A fingerprint is made of the XXH64 hashes of all shingles of ``shingle`` words, repeats included; a
-    shorter text is one shingle, one without words has the fingerprint 0.  Fingerprints with at most
-    ``distance`` differing bits are linked, and documents reach each other through links.
+    A fingerprint has 64 bits for each of ``words`` seeds, made of the XXH64 hashes of all shingles of
+    ``shingle`` words, repeats included; a shorter text is one shingle, one without words has the fingerprint 0.
+    Fingerprints with at most ``distance`` differing bits are linked, and documents reach each other through links.
+    All links are found if at most ``index_distance`` of the first 64 bits differ (by default ``distance``); of
+    others those that agree in a segment but for one bit.  Texts of fewer than ``least_shingles`` shingles are
+    only linked to those with the same fingerprint, as few shingles make unlike texts alike.
     ``component_id`` is the smallest id a document reaches; null ids are ignored, and it is null if there
     are no others.  Exactly one row of each component is ``kept``: of the rows with the smallest id (null
-    ids last) the first in the order of the input, ``_row``.  A null text is an empty one.  Rows that repeat an id are separate rows.  An empty table gives no rows.
+    ids last) the first in the order of the input, ``_row``.  A null text is an empty one.  Rows that repeat
+    an id are separate rows.  An empty table gives no rows.
 
     Texts do not move.  Copies are summed up to one node first; only distinct fingerprints are indexed.
     """
+    parts = _parts(words)
     keys = {"doc_id": quoted(doc_id), "_row": F.monotonically_increasing_id()}
-    rows = written(fingerprints(docs, shingle, text, keys), "fingerprints")
+    rows = written(fingerprints(repeatable(docs), shingle, words, text, keys), "fingerprints")
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "_row"))
-    nodes = written(rows.groupBy("fp").agg(smallest.alias("first"), F.count("*").alias("n")), "nodes")
-    classes = written(linked_classes(nodes, distance), "classes")
-    named = nodes.join(classes, "fp")
+    nodes = rows.groupBy(*parts).agg(
+        smallest.alias("first"), F.count("*").alias("n"), F.min("_row").alias("id"), F.max("shingles").alias("shingles")
+    )
+    nodes = written(nodes, "nodes")
+    indexed = nodes.where(F.col("shingles") >= least_shingles)
+    classes = written(linked_classes(indexed, words, distance, distance if index_distance is None else index_distance), "classes")
+    named = nodes.join(classes, "id", "left").withColumn("root", F.coalesce("root", "id"))
     tops = named.groupBy("root").agg(F.min("first").alias("top"))
     named = named.join(tops, "root").select(
-        "fp", "n", F.col("top.id").alias("component_id"), F.col("top._row").alias("_top")
-    )
-    named = written(named, "components")
-    # a fingerprint with over a 1024th of the rows is broadcast, so that its rows stay where they are
-    limit = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] / 1024
-    large, small = named.where(F.col("n") > limit).drop("n"), named.where(F.col("n") <= limit).drop("n")
-    near = rows.join(F.broadcast(large), "fp", "left")
-    out = near.where("_top is not null").unionByName(
-        near.where("_top is null").select("fp", "doc_id", "_row").join(small.hint("merge"), "fp")
+        *parts, "n", F.col("top.id").alias("component_id"), F.col("top._row").alias("_top")
     )
-    hexed = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    out = with_group(rows, written(named, "components"), parts, "n", rows.count())
+    hexed = F.concat(*(F.lpad(F.lower(F.hex(f)), 16, "0") for f in parts)).alias("fingerprint")
     return out.select("doc_id", hexed, "component_id", (F.col("_row") == F.col("_top")).alias("kept"), "_row")
 
 
