@@ -30,6 +30,11 @@ ENTRIES: dict[str, Entry] = {}
 USER_ID = "8"
 CONTEXT = {"Time": "Weekend", "Location": "Home", "Companion": "Family"}
 W0, K, ALS_K = 0.05, 8, 4
+CONTEXT_VALUES = {
+    "Time": ("NA", "Weekday", "Weekend"),
+    "Location": ("Cinema", "Home", "NA"),
+    "Companion": ("Alone", "Family", "NA", "Partner"),
+}
 
 
 def query(name: str, sql: str | None = None, uses: str = ""):
@@ -47,7 +52,7 @@ def query(name: str, sql: str | None = None, uses: str = ""):
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.contextual_ratings(spark, sf_dir).select(
-        "row_id", "userid", "itemid", "rating", "Time", "Location", "Companion"
+        "row_id", "userid", "user_key", "itemid", "rating", "Time", "Location", "Companion"
     )
 
 

@@ -47,7 +47,7 @@ def _indexed(df, columns):
 
 @query("feature_dictionary", "select block, val, n, idx from dic", "dic")
 def feature_dictionary(spark, sf_dir):
-    return encoding.feature_dictionary(ratings(spark, sf_dir))
+    return encoding.feature_dictionary(ratings(spark, sf_dir)).select("block", "val", "n", "idx")
 
 
 @query("encode_features_long", "select row_id, idx, 1.0::double as val from feat", "feat")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from sitrec.checks.base import CONTEXT, dictionary_and_model, fine, fixed_factors, query, ratings, row, scaled
+from sitrec.checks.base import CONTEXT, CONTEXT_VALUES, dictionary_and_model, fine, fixed_factors, query, ratings, row, scaled
 from sitrec.functions.scalar import rounded
 from sitrec.models import als, evaluate, learners, search
 from sitrec.models.fm import score_contextual
@@ -143,8 +143,7 @@ def linreg_simple(spark, sf_dir):
 
 def _context_vectors(spark, sf_dir):
     df = ratings(spark, sf_dir)
-    values = ops.few_values(df, ("Time", "Location", "Companion"))
-    flags = ops.pivot_values(df, values, ["row_id", "rating"])
+    flags = ops.pivot_values(df, CONTEXT_VALUES, ["row_id", "rating"])
     names = [c for c in flags.columns if c not in ("row_id", "rating")]
     vectors = assemble(flags, names).select("row_id", (F.col("rating") - 1).alias("label"), "features")
     return vectors, names
@@ -264,11 +263,7 @@ def rmse_joined(spark, sf_dir):
     """Predictions exist only for pairs with a positive score, so the two denominators differ."""
     truth = ops.rescale_ratings(fine(spark, sf_dir)).select("userid", "itemid", "rating")
     known = _pair_scores(spark, sf_dir).filter(F.round("prediction", 9) > 0)
-    parts = [
-        evaluate.rmse_joined(known, truth, denominator=d).select(F.lit(d).alias("denominator"), "rmse", "matched")
-        for d in ("matched", "all")
-    ]
-    return six(parts[0].unionByName(parts[1]), "rmse")
+    return six(evaluate.rmses_joined(known, truth), "rmse")
 
 
 @query(
@@ -307,9 +302,9 @@ def baseline_rmse(spark, sf_dir):
 )
 def eval_report(spark, sf_dir):
     dictionary, model = dictionary_and_model(spark, sf_dir)
-    scored = score_contextual(_split(spark, sf_dir), dictionary, model, row()).select("rating", "prediction", "split")
-    train, test = (scored.filter(F.col("split") == s) for s in ("train", "test"))
-    return six(evaluate.report(train, test), "mean_rating", "baseline_rmse", "rmse", "improvement")
+    train, test = (_split(spark, sf_dir).filter(F.col("split") == s) for s in ("train", "test"))
+    scored = score_contextual(test, dictionary, model, row()).select("rating", "prediction")
+    return six(evaluate.report(train, scored), "mean_rating", "baseline_rmse", "rmse", "improvement")
 
 
 @query(

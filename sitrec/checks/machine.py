@@ -47,7 +47,7 @@ def fm_score(spark, sf_dir):
 def fm_score_long(spark, sf_dir):
     """The general form for sparse rows."""
     dictionary, model = dictionary_and_model(spark, sf_dir)
-    long = long_features(encoded(spark, sf_dir, dictionary), "row_id")
+    long = long_features(encoded(spark, sf_dir, dictionary), "row_id", empty=True)
     return six(score_long(long, model), "prediction")
 
 
@@ -85,7 +85,7 @@ def fm_model_roundtrip(spark, sf_dir):
 
 def _slopes(spark, sf_dir):
     dictionary, model = dictionary_and_model(spark, sf_dir)
-    long = long_features(encoded(spark, sf_dir, dictionary), "row_id", "label")
+    long = written(long_features(encoded(spark, sf_dir, dictionary), "row_id", "label", empty=True), "long")
     return long, written(row_slopes(long, model), "slopes"), model
 
 

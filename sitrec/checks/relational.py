@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sitrec.checks.base import CONTEXT, USER_ID, fine, query, ratings, row, scaled
+from sitrec.checks.base import CONTEXT, CONTEXT_VALUES, USER_ID, fine, query, ratings, row, scaled
 from sitrec.functions.scalar import math_scalars, rounded
 from sitrec.operators import relational as ops
 from sitrec.operators.encoding import ENCODED, encode, feature_dictionary, index_table, string_index
@@ -175,7 +175,7 @@ _FLAGS = ", ".join(
 @query("pivot_context", f"select row_id, {_FLAGS} from rat", "rat")
 def pivot_context(spark, sf_dir):
     df = ratings(spark, sf_dir)
-    return ops.pivot_values(df, ops.few_values(df, ("Time", "Location", "Companion")), ["row_id"])
+    return ops.pivot_values(df, CONTEXT_VALUES, ["row_id"])
 
 
 # ---- filters -----------------------------------------------------------------------------------

@@ -30,6 +30,7 @@ def als(
     cold_start: str = "drop",
     checkpoint_interval: int = 2,
     seed: int = 0,
+    blocks: int = 10,
 ) -> ALS:
     return ALS(
         rank=rank,
@@ -43,6 +44,8 @@ def als(
         itemCol=ITEM_I,
         ratingCol="rating",
         seed=seed,
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
     )
 
 
@@ -55,9 +58,17 @@ def mean_pairs(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy(USER_I, ITEM_I).agg(F.avg("rating").alias("rating"))
 
 
+BLOCK_ROWS = 500_000  # ratings of a block, some tens of MB in memory
+
+
+def blocks_for(ratings: DataFrame) -> int:
+    """Blocks of users and of items, so that a block holds about ``BLOCK_ROWS`` ratings and every core has one."""
+    return max(10, ratings.sparkSession.sparkContext.defaultParallelism, -(-ratings.count() // BLOCK_ROWS))
+
+
 def fit(ratings: DataFrame, **settings) -> ALSModel:
     shared_folder(ratings.sparkSession)
-    return als(**settings).fit(ratings)
+    return als(**{"blocks": blocks_for(ratings)} | settings).fit(ratings)
 
 
 def save(model: ALSModel, path: str) -> None:
@@ -78,7 +89,7 @@ def fit_grid(
 ) -> TrainValidationSplitModel:
     """All grid points on one train/validation split; the best by RMSE is refitted on all rows."""
     shared_folder(ratings.sparkSession)
-    estimator = als(seed=seed, **settings)
+    estimator = als(**{"seed": seed, "blocks": blocks_for(ratings)} | settings)
     points = ParamGridBuilder()
     for name, values in grid.items():
         points = points.addGrid(estimator.getParam(name), list(values))

@@ -30,27 +30,36 @@ def rmse_joined(
     keys: tuple[str, str] = ("userid", "itemid"),
     denominator: str = "matched",
 ) -> DataFrame:
-    """RMSE of predictions joined to the truth by user and item.
-
-    ``matched`` divides by the joined pairs, ``all`` by the rows of the truth (a pair without
-    prediction then adds no error).  Repeated pairs count in all combinations, as in a join, but both
-    sides are summed per pair first: sum (p - r)^2 = n_r sum p^2 - 2 sum p sum r + n_p sum r^2.
-    """
+    """RMSE of predictions joined to the truth by user and item: the chosen one of ``rmses_joined``."""
     if denominator not in ("matched", "all"):
         raise ValueError("denominator must be 'matched' or 'all'")
+    both = rmses_joined(predictions, truth, keys)
+    return both.filter(F.col("denominator") == denominator).select("rmse", "matched")
+
+
+def rmses_joined(predictions: DataFrame, truth: DataFrame, keys: tuple[str, str] = ("userid", "itemid")) -> DataFrame:
+    """``denominator, rmse, matched`` of predictions joined to the truth by user and item.
+
+    ``matched`` divides by the joined pairs, ``all`` by the rows of the truth (a pair without prediction then
+    adds no error).  Repeated pairs count in all combinations, as in a join, but both sides are summed per pair
+    first, about their means: sum (p - r)^2 = n_r C_p + n_p C_r + n_p n_r (mean p - mean r)^2.  All terms
+    are positive, so nearly exact predictions lose no digits.
+    """
 
     def per_pair(df: DataFrame, value: str, tag: str) -> DataFrame:
         x = F.col(value).cast("double")
-        sums = {"n": F.count(x), "s": F.sum(x), "q": F.sum(x * x)}
+        sums = {"n": F.count(x), "m": F.avg(x), "c": F.coalesce(F.var_pop(x) * F.count(x), F.lit(0.0))}
         return df.groupBy(*keys).agg(*(e.alias(f"{name}_{tag}") for name, e in sums.items()))
 
     joined = per_pair(predictions, "prediction", "p").join(per_pair(truth, "rating", "r"), list(keys))
-    error = F.expr("n_r * q_p - 2 * s_p * s_r + n_p * q_r")
-    matched = F.coalesce(F.sum(F.expr("n_p * n_r")), F.lit(0))
-    n = matched if denominator == "matched" else single(truth, F.count(F.lit(1)))
-    return joined.agg(
-        F.sqrt(F.try_divide(F.greatest(F.sum(error), F.lit(0.0)), n)).alias("rmse"), matched.alias("matched")
+    error = F.expr("n_r * c_p + n_p * c_r + n_p * n_r * (m_p - m_r) * (m_p - m_r)")
+    sums = joined.agg(F.sum(error).alias("e"), F.coalesce(F.sum(F.expr("n_p * n_r")), F.lit(0)).alias("matched"))
+    by = F.array(
+        F.struct(F.lit("matched").alias("denominator"), F.col("matched").alias("n")),
+        F.struct(F.lit("all").alias("denominator"), single(truth, F.count(F.lit(1))).alias("n")),
     )
+    rows = sums.select("e", "matched", F.explode(by).alias("d"))
+    return rows.select("d.denominator", F.sqrt(F.try_divide("e", F.col("d.n"))).alias("rmse"), "matched")
 
 
 def baseline(training: DataFrame, test: DataFrame, label: str = "rating") -> DataFrame:

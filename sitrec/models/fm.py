@@ -100,7 +100,8 @@ def score_sums(
 ) -> DataFrame:
     """Per row: linear part ``lin``, factor sums ``s0..``, sum of squares ``q`` and ``raw`` score.
 
-    ``long`` has ``key, idx, val``.  Features outside the model add nothing.  ``keep`` are further
+    ``long`` has ``key, idx, val``; a row without features stands in it once, with NULL for both (see
+    ``long_features(..., empty=True)``).  Features outside the model add nothing.  ``keep`` are further
     aggregates of the row.
     """
     joined = lookup_join(
@@ -112,9 +113,9 @@ def score_sums(
         size=model.num_features * 16 * (model.num_factors + 2),
         broadcast_bytes=broadcast_bytes,
     )
-    x = [f"{known(v)} * val" for v in model.v]
+    x = [f"{known(v)} * {known('val')}" for v in model.v]
     sums = joined.groupBy(key).agg(
-        F.expr(f"sum({known('w')} * val) as lin"),
+        F.expr(f"sum({known('w')} * {known('val')}) as lin"),
         *(F.expr(f"sum({e}) as s{f}") for f, e in enumerate(x)),
         F.expr(f"sum({plus([f'{e} * {e}' for e in x])}) as q"),
         *keep,
@@ -232,6 +233,7 @@ def gradient(long: DataFrame, slopes: DataFrame, model: FMModel, n: int, key: st
     k = model.num_factors
     sums = (
         long.select(key, "idx", "val")
+        .filter("idx is not null")
         .join(slopes.drop("loss"), key)
         .groupBy("idx")
         .agg(

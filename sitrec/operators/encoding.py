@@ -12,7 +12,6 @@ from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitrec.functions.scalar import single
 from sitrec.operators.joins import BROADCAST_BYTES, hot_of_counts, lookup_join
 from sitrec.operators.ordering import numbered
 from sitrec.sources.ratings import CONTEXTS, ITEM, USER
@@ -48,16 +47,18 @@ def index_to_string(df: DataFrame, column: str, output: str, index: DataFrame, l
 
 
 def feature_dictionary(df: DataFrame, columns: Sequence[str] = ENCODED) -> DataFrame:
-    """``block, val, n, idx``: one feature per distinct value, blocks in column order, values sorted.
+    """``block, val, n, idx, name``: one feature per distinct value, blocks in column order, values sorted.
 
-    One scan counts the values of all columns; positions come from a distributed sort.
+    ``name`` is the column of the block.  One scan counts the values of all columns; positions come from a
+    distributed sort.
     """
     entries = F.array(
         *(F.struct(F.lit(b).alias("block"), F.col(c).cast("string").alias("val")) for b, c in enumerate(columns))
     )
     values = df.select(F.explode(entries).alias("e")).select("e.*").filter(F.col("val").isNotNull())
     counts = values.groupBy("block", "val").agg(F.count(F.lit(1)).alias("n"))
-    return numbered(counts, F.col("block").asc(), F.col("val").asc())
+    names = F.array(*(F.lit(c) for c in columns))
+    return numbered(counts, F.col("block").asc(), F.col("val").asc()).withColumn("name", F.get(names, F.col("block")))
 
 
 def block_bytes(dictionary: DataFrame, row_bytes: int = 64) -> dict[int, int]:
@@ -130,8 +131,3 @@ def one_hot_vectors(df: DataFrame, indexed: Sequence[str], output: str = "featur
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
     """Numeric and vector columns to one vector."""
     return VectorAssembler(inputCols=list(columns), outputCol=output).transform(df)
-
-
-def num_features(dictionary: DataFrame) -> Column:
-    """Number of features of a dictionary, as a scalar subquery."""
-    return single(dictionary, F.count(F.lit(1)))

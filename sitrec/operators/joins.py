@@ -15,44 +15,60 @@ from pyspark.sql import functions as F
 from sitrec.functions.scalar import single
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_SHARE = 0.001
-SALTS = 64
 
 
 def table_bytes(df: DataFrame) -> int:
-    """Approximate size of a table: text by its length, arrays by elements, 16 bytes a column."""
+    """Approximate size of a table: 16 bytes a column, and what its texts, bytes and collections hold.
+
+    Arrays of numbers count by elements; maps, structs and other arrays by the length of their JSON.
+    """
     parts = [F.lit(16 * len(df.columns))]
     for name, kind in df.dtypes:
-        if kind == "string":
+        if kind in ("string", "binary"):
             parts.append(F.coalesce(F.octet_length(name), F.lit(0)))
-        elif kind.startswith("array"):
+        elif kind in NUMBER_ARRAYS:
             parts.append(F.coalesce(F.size(name), F.lit(0)) * 16)
+        elif kind.startswith(("array", "map", "struct")):
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0)))
     return int(df.agg(F.sum(sum(parts[1:], parts[0]).cast("bigint"))).first()[0] or 0)
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys with more than ``share`` of the rows: never more than ``1 / share`` of them."""
+NUMBER_ARRAYS = {f"array<{t}>" for t in ("tinyint", "smallint", "int", "bigint", "float", "double")}
+
+
+def task_share(df: DataFrame) -> int:
+    """Into how many tasks a shuffle divides the rows."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_keys(df: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
+    """Keys with more rows than a task's fair share, and their ``_salts``."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return hot_of_counts(counts, key, "_n", share)
+    return hot_of_counts(counts, key, "_n", tasks)
 
 
-def hot_of_counts(counts: DataFrame, key: str, n: str, share: float = HOT_SHARE) -> DataFrame:
-    """The same from counts that are already there."""
-    return counts.filter(F.col(n) > share * single(counts, F.sum(n))).select(key)
+def hot_of_counts(counts: DataFrame, key: str, n: str, tasks: int | None = None) -> DataFrame:
+    """The same from counts that are already there.
+
+    A key is divided into as many parts as it holds fair shares, so there are fewer hot keys than tasks, and
+    fewer than two parts for each task.
+    """
+    share = F.col(n) * (tasks or task_share(counts)) / single(counts, F.sum(n))
+    return counts.filter(share > 1).select(key, F.ceil(share).cast("int").alias("_salts"))
 
 
-def salted(df: DataFrame, key: str, hot: DataFrame, spread: Column, salts: int = SALTS) -> DataFrame:
-    """Add ``_salt``: 0 for ordinary keys, one of ``salts`` values by ``spread`` for hot and missing ones."""
-    flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    salt = F.when(F.col("_hot") | F.col(key).isNull(), F.pmod(F.hash(spread), F.lit(salts))).otherwise(F.lit(0))
-    return flagged.withColumn("_salt", salt).drop("_hot")
+def salted(df: DataFrame, key: str, hot: DataFrame, spread: Column) -> DataFrame:
+    """Add ``_salt``: 0 for ordinary keys, by ``spread`` one of its salts for a hot key, any for a missing one."""
+    flagged = df.join(F.broadcast(hot), key, "left")
+    salts = F.when(F.col(key).isNull(), F.lit(max(64, task_share(df)))).otherwise(F.coalesce("_salts", F.lit(1)))
+    return flagged.withColumn("_salt", F.pmod(F.hash(spread), salts)).drop("_salts")
 
 
-def replicated(df: DataFrame, key: str, hot: DataFrame, salts: int = SALTS) -> DataFrame:
+def replicated(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """One copy of every row for each ``_salt`` its key can have."""
-    flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return flagged.withColumn("_salt", F.explode(copies)).drop("_hot")
+    flagged = df.join(F.broadcast(hot), key, "left")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    return flagged.withColumn("_salt", F.explode(copies)).drop("_salts")
 
 
 def lookup_join(
@@ -68,8 +84,8 @@ def lookup_join(
     """Join facts to a lookup on ``key`` (``inner`` or ``left``).
 
     ``spread`` tells rows of a hot key apart; ``hot`` (asked only when needed) and ``size`` save a
-    pass when known.  At most ``1 / HOT_SHARE`` keys are hot, so the broadcast flags and the copies
-    are bounded by rule.
+    pass when known.  There are fewer hot keys than shuffle partitions, so the broadcast flags and the
+    copies are bounded by rule.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")

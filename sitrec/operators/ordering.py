@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from sitrec.storage import written
 
+CUT_BEFORE = 1000  # ranks up to which Spark filters before the shuffle
+
 
 def totals_before(df: DataFrame, order: Sequence[Column], totals: Mapping[str, Column]) -> DataFrame:
     """Add, per row, the sums of ``totals`` over all rows that sort strictly before it.
@@ -59,9 +61,15 @@ def top_k(df: DataFrame, k: int, *order: Column, rank: str | None = "rank") -> D
 def top_k_per(df: DataFrame, keys: Sequence[str], k: int, *order: Column, rank: str = "rank") -> DataFrame:
     """First k rows of every group.
 
-    The rank filter is applied in each map task before the shuffle as well, so a group that holds
-    most rows still sends at most k rows per task.
+    Up to ``CUT_BEFORE`` rows a group, Spark applies the rank filter in each map task before the shuffle, so
+    a group that holds most rows still sends at most k rows per task.  For a larger k every group is
+    first cut within parts of it, as many as there are shuffle partitions.
     """
+    if k > CUT_BEFORE:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parted = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(tasks)))
+        within = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
+        df = parted.withColumn("_place", within).filter(F.col("_place") <= k).drop("_part", "_place")
     position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn(rank, position).filter(F.col(rank) <= k)
 

@@ -9,11 +9,13 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitrec.functions.scalar import rescale, single
+from sitrec.functions.scalar import rescale
 from sitrec.sources.ratings import CONTEXTS, UNKNOWN_CONTEXT
 from sitrec.storage import written
 
 
+USER_KEY = "user_key"
+
 # ---- filters -----------------------------------------------------------------------------------
 
 
@@ -51,9 +53,22 @@ def unseen_items(ratings: DataFrame, user, user_col: str = "userid", item_col: s
     A NULL item never matches and is dropped from the candidates; unlike ``NOT IN`` a NULL among
     the user's items does not empty the result.
     """
-    items = ratings.select(item_col).filter(F.col(item_col).isNotNull()).distinct()
-    rated = ratings.filter(F.col(user_col) == F.lit(user)).select(item_col).distinct()
-    return items.join(rated, item_col, "left_anti")
+    # counted rather than distinct: the optimizer would join the raw rows and make them distinct later
+    items = ratings.filter(F.col(item_col).isNotNull()).groupBy(item_col).agg(F.count(F.lit(1)).alias("_n"))
+    rated = user_rows(ratings, user, user_col).select(item_col).distinct()
+    return items.filter("_n > 0").select(item_col).join(rated, item_col, "left_anti")
+
+
+def user_rows(ratings: DataFrame, user, user_col: str = "userid") -> DataFrame:
+    """Rows of one user.
+
+    Where the table has the user in the type of its files as well (``user_key``), the filter on that column
+    reaches the scan.
+    """
+    rows = ratings.filter(F.col(user_col) == F.lit(user))
+    if USER_KEY not in ratings.columns:
+        return rows
+    return rows.filter(F.col(USER_KEY) == F.try_to_number(F.lit(str(user)), F.lit("9" * 19)).cast("bigint"))
 
 
 def unseen_items_sql(ratings: DataFrame, user: str) -> DataFrame:
@@ -146,15 +161,10 @@ def pivot_values(df: DataFrame, values: Mapping[str, Sequence[str]], keep: Seque
     return df.select(*keep, *flags)
 
 
-def few_values(df: DataFrame, columns: Sequence[str], most: int = 1000) -> dict[str, list[str]]:
-    """Sorted values of columns known to be small; an error when one is not."""
-    found: dict[str, list[str]] = {}
-    for c in columns:
-        rows = df.select(c).filter(F.col(c).isNotNull()).distinct().limit(most + 1).collect()
-        if len(rows) > most:
-            raise ValueError(f"{c} has more than {most} values: use a feature dictionary")
-        found[c] = sorted(r[0] for r in rows)
-    return found
+def pivot_long(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """The same in long form, ``keep..., feature``: one row per cell that is 1, for values that are not known."""
+    named = [F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}_"), F.col(c).cast("string"))) for c in columns]
+    return df.select(*keep, F.explode(F.array_compact(F.array(*named))).alias("feature"))
 
 
 # ---- aggregates --------------------------------------------------------------------------------
@@ -175,7 +185,3 @@ def dataset_stats(df: DataFrame, user: str = "userid", item: str = "itemid", exa
     return df.agg(
         F.count(F.lit(1)).alias("ratings"), distinct(F.col(user)).alias("users"), distinct(F.col(item)).alias("items")
     )
-
-
-def mean_of(df: DataFrame, value: str) -> Column:
-    return single(df, F.avg(value))

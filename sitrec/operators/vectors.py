@@ -9,10 +9,11 @@ import pyarrow as pa
 from pyspark.ml.feature import DCT, PCA, MinMaxScaler, PCAModel, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitrec.operators.ordering import totals_before
+from sitrec.storage import written
 
 
 def as_vector(df: DataFrame, array: str, output: str = "features") -> DataFrame:
@@ -49,44 +50,64 @@ def fit_pca(df: DataFrame, k: int, vector: str = "features", output: str = "pca"
     return PCA(k=k, inputCol=vector, outputCol=output).fit(df)
 
 
+def _merged(left: tuple, right: tuple) -> tuple:
+    """Count, means and centred products of two sets of rows together."""
+    (n, m, c), (k, mean, products) = left, right
+    off = mean - m
+    return n + k, m + off * (k / (n + k)), c + products + np.outer(off, off) * (n * k / (n + k))
+
+
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    n, sums, products = 0, None, None
+    whole = None
     for batch in batches:
-        rows = batch.num_rows
-        if rows == 0:
+        if batch.num_rows == 0:
             continue
-        block = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(rows, -1)
-        if sums is None:
-            sums, products = np.zeros(block.shape[1]), np.zeros((block.shape[1],) * 2)
-        n += rows
-        sums += block.sum(axis=0)
-        products += block.T @ block
-    if n:
-        d = len(sums)
-        i, j = np.triu_indices(d)
+        column = batch.column(0)
+        lengths = np.diff(column.offsets.to_numpy())
+        if column.null_count or column.flatten().null_count or (lengths != lengths[0]).any():
+            raise ValueError("the arrays must have one length and no NULL")
+        block = column.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        if whole is not None and len(whole[1]) != block.shape[1]:
+            raise ValueError("the arrays must have one length and no NULL")
+        mean = block.mean(axis=0)
+        centred = block - mean
+        part = batch.num_rows, mean, centred.T @ centred
+        whole = part if whole is None else _merged(whole, part)
+    if whole is not None:
+        n, means, products = whole
+        i, j = np.triu_indices(len(means))
         yield pa.RecordBatch.from_pydict(
             {
+                "d": pa.array(np.full(len(i), len(means)), pa.int32()),
                 "i": pa.array(i, pa.int32()),
                 "j": pa.array(j, pa.int32()),
                 "n": pa.array(np.full(len(i), n), pa.int64()),
-                "si": pa.array(sums[i]),
-                "sj": pa.array(sums[j]),
-                "sij": pa.array(products[i, j]),
+                "mi": pa.array(means[i]),
+                "mj": pa.array(means[j]),
+                "c": pa.array(products[i, j]),
             }
         )
 
 
 def covariance(df: DataFrame, array: str) -> DataFrame:
-    """``i, j, covariance`` (i <= j) of fixed-length arrays without NULLs.
+    """``i, j, covariance`` (i <= j) of arrays of one length; NULL or ragged arrays are errors.
 
-    Every task reduces its rows to one matrix of sums; Spark adds those up.
+    Every task reduces its rows to counts, means and centred products.  The products about the common means
+    are theirs and the spread of the tasks' means, so nothing large is subtracted from anything large.
     """
     partial = df.select(F.col(array).cast("array<double>")).mapInArrow(
-        _moments, "i int, j int, n bigint, si double, sj double, sij double"
+        _moments, "d int, i int, j int, n bigint, mi double, mj double, c double"
+    )
+    partial = written(partial, "moments")  # a row per task and pair of slots
+    if partial.select("d").distinct().count() > 1:
+        raise ValueError("the arrays must have one length and no NULL")
+    share = F.col("n") / F.sum("n").over(Window.partitionBy("i", "j"))
+    means = partial.withColumn("share", share).groupBy("i", "j").agg(
+        F.sum(F.col("mi") * F.col("share")).alias("ci"), F.sum(F.col("mj") * F.col("share")).alias("cj")
     )
-    sums = partial.groupBy("i", "j").agg(*(F.sum(c).alias(c) for c in ("n", "si", "sj", "sij")))
-    n = F.col("n")
-    return sums.select("i", "j", ((F.col("sij") - F.col("si") * F.col("sj") / n) / (n - 1)).alias("covariance"))
+    spread = F.col("n") * (F.col("mi") - F.col("ci")) * (F.col("mj") - F.col("cj"))
+    about = partial.join(means, ["i", "j"]).groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum(F.col("c") + spread).alias("c"))
+    return about.select("i", "j", F.try_divide("c", F.col("n") - 1).alias("covariance"))
 
 
 def pearson_matrix(df: DataFrame, vector: str = "features") -> np.ndarray:
@@ -94,10 +115,6 @@ def pearson_matrix(df: DataFrame, vector: str = "features") -> np.ndarray:
     return Correlation.corr(df, vector, "pearson").first()[0].toArray()
 
 
-def pearson(df: DataFrame, left: str, right: str) -> Column:
-    return df.agg(F.corr(left, right)).scalar()
-
-
 def average_ranks(df: DataFrame, column: str, output: str) -> DataFrame:
     """``column, output``: the mean 1-based rank of every distinct value.
 

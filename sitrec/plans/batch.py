@@ -2,7 +2,8 @@
 
 Every request has to be compared with every item, but no pair becomes a row: requests travel in
 chunks, items in blocks, a task multiplies one chunk with one block and keeps the k best per request.
-Chunks are joined to blocks by block number, spread over ``SPREAD`` copies of every block.
+Chunks are joined to blocks by block number, spread over copies of every block, as many as
+the shuffle has tasks to fill.
 """
 
 from __future__ import annotations
@@ -17,12 +18,13 @@ from pyspark.sql import functions as F
 
 from sitrec.models.fm import REGRESSION, FMModel, score_contextual
 from sitrec.operators.encoding import ENCODED
+from sitrec.operators.joins import task_share
 from sitrec.operators.ordering import top_k_per
 from sitrec.plans.recommend import item_vectors
 from sitrec.sources.ratings import ITEM
 from sitrec.storage import written
 
-CHUNK, BLOCK, SPREAD, STRIP = 1024, 16384, 16, 64
+CHUNK, BLOCK, STRIP = 1024, 16384, 64
 
 
 def _packed(df: DataFrame, name: str, key: str, numbers: Sequence[str], into: int) -> DataFrame:
@@ -105,11 +107,13 @@ def recommend_batch(
     vectors = written(parts.select("request_id", "raw", *sums), "requests")
     items = written(item_vectors(dictionary, model), "items")
     chunks, blocks = (max(1, math.ceil(df.count() / size)) for df, size in ((vectors, chunk), (items, block)))
+    # several chunks for each task, but no copy of a block without a chunk
+    copies = min(chunks, max(1, math.ceil(4 * task_share(items) / blocks)))
     left = _packed(vectors, "chunk", "request_id", ["raw", *sums], chunks)
     left = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    left = left.withColumn("copy", F.pmod(F.col("chunk"), F.lit(SPREAD)))
+    left = left.withColumn("copy", F.pmod(F.col("chunk"), F.lit(copies)))
     right = _packed(items, "block", ITEM, ["w", *model.v], blocks)
-    right = right.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(min(SPREAD, chunks) - 1))))
+    right = right.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     found = left.join(right, ["block", "copy"]).mapInArrow(
         block_scorer(model, k, minimum), f"request_id bigint, {ITEM} string, rating double"
     )

@@ -14,27 +14,25 @@ from sitrec.models import als
 from sitrec.models.fm import FMModel, pair_term
 from sitrec.operators.encoding import index_table, string_index
 from sitrec.operators.ordering import top_k
-from sitrec.operators.relational import context_filter, context_matches, split_items, unseen_items
+from sitrec.operators.relational import context_filter, context_matches, split_items, unseen_items, user_rows
 from sitrec.sources.ratings import CONTEXTS, ITEM, USER
 
-USER_BLOCK, ITEM_BLOCK, FIRST_CONTEXT_BLOCK = 0, 1, 2
-
 
 # ---- contextual modelling ----------------------------------------------------------------------
 
 
-def request_vector(
-    dictionary: DataFrame, model: FMModel, user: str, context: Mapping[str, str], contexts: Sequence[str] = CONTEXTS
-) -> DataFrame:
+def request_vector(dictionary: DataFrame, model: FMModel, user: str, context: Mapping[str, str]) -> DataFrame:
     """One row ``base, v0.., known``: the part of the score that all items share, the factor sums of
     the request, and the number of its values that the dictionary knows.
 
-    An unknown user or context value adds nothing.
+    An unknown user or context value adds nothing; a context that is no column of the dictionary is an error.
     """
-    wanted = (F.col("block") == USER_BLOCK) & (F.col("val") == F.lit(user))
-    for b, dim in enumerate(contexts, FIRST_CONTEXT_BLOCK):
-        if dim in context:
-            wanted = wanted | ((F.col("block") == b) & (F.col("val") == F.lit(context[dim])))
+    blocks = {r["name"] for r in dictionary.select("name").distinct().collect()}
+    if strange := set(context) - blocks | ({USER, ITEM} & set(context)):
+        raise ValueError(f"no context columns of the dictionary: {sorted(strange)}")
+    wanted = (F.col("name") == USER) & (F.col("val") == F.lit(user))
+    for dim, value in context.items():
+        wanted = wanted | ((F.col("name") == dim) & (F.col("val") == F.lit(value)))
     k = model.num_factors
     sums = dictionary.filter(wanted).join(model.factors, "idx").selectExpr(
         f"{known('sum(w)')} as lin",
@@ -49,7 +47,7 @@ def request_vector(
 
 def item_vectors(dictionary: DataFrame, model: FMModel) -> DataFrame:
     """``itemid, w, v0..``: weight and factors of every item."""
-    items = dictionary.filter(F.col("block") == ITEM_BLOCK).select("val", "idx")
+    items = dictionary.filter(F.col("name") == ITEM).select("val", "idx")
     return items.join(model.factors, "idx").select(F.col("val").alias(ITEM), "w", *model.v)
 
 
@@ -87,7 +85,7 @@ def recommend_by_model(
     """
     scored = score_items(dictionary, model, user, context)
     if exclude_rated is not None:
-        rated = exclude_rated.filter(F.col(USER) == F.lit(user)).select(ITEM).distinct()
+        rated = user_rows(exclude_rated, user).select(ITEM).distinct()
         scored = scored.join(rated, ITEM, "left_anti")
     return scored.filter(F.col("rating") > 0).orderBy(F.col("rating").desc(), ITEM)
 
@@ -135,7 +133,8 @@ def prefilter_candidates(ratings: DataFrame, user: str, context: Mapping[str, st
 
 def postfilter_candidates(ratings: DataFrame, user: str, context: Mapping[str, str]) -> DataFrame:
     """Items the user has not rated at all, as far as they occur in the context."""
-    return unseen_items(ratings, user).join(context_filter(ratings, context).select(ITEM), ITEM, "left_semi")
+    found = context_filter(ratings, context).groupBy(ITEM).agg(F.count(F.lit(1)).alias("_n"))
+    return unseen_items(ratings, user).join(found.filter("_n > 0").select(ITEM), ITEM, "left_semi")
 
 
 def recommend_prefiltered(ratings: DataFrame, factors: Factors, user: str, context: Mapping[str, str]) -> DataFrame:

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_VECTOR_JSON = "struct<f:struct<type:int,size:int,indices:array<bigint>,values:array<double>>>"
-
 
 def libsvm_line(label: str = "label", idx: str = "idx", val: str = "val") -> Column:
     """One feature row as libSVM text (1-based indices)."""
@@ -46,10 +44,9 @@ def load_libsvm_vectors(spark: SparkSession, path: str, num_features: int) -> Da
 def vector_parts(df: DataFrame, features: str = "features") -> DataFrame:
     """Replace a vector column by ``idx`` and ``val``, leaving zeros out."""
     kept = [c for c in df.columns if c != features]
-    parsed = F.from_json(F.to_json(F.struct(F.col(features).alias("f"))), _VECTOR_JSON)["f"]
-    opened = df.select(*kept, parsed.alias("_f"))
+    opened = df.select(*kept, F.unwrap_udt(features).alias("_f"))
     positions = F.coalesce(
-        F.col("_f.indices"),
+        F.col("_f.indices").cast("array<bigint>"),
         F.transform(F.col("_f.values"), lambda _, i: i.cast("bigint")),
     )
     pairs = F.filter(F.arrays_zip(positions.alias("i"), F.col("_f.values").alias("x")), lambda p: p["x"] != 0.0)
@@ -58,10 +55,14 @@ def vector_parts(df: DataFrame, features: str = "features") -> DataFrame:
     )
 
 
-def long_features(rows: DataFrame, *keep: str) -> DataFrame:
-    """One row per active feature: ``keep..., idx, val``."""
+def long_features(rows: DataFrame, *keep: str, empty: bool = False) -> DataFrame:
+    """One row per active feature: ``keep..., idx, val``.
+
+    With ``empty`` a row without features stays as one row with NULL for both.
+    """
+    explode = F.explode_outer if empty else F.explode
     pairs = F.arrays_zip("idx", "val")
-    return rows.select(*keep, F.explode(pairs).alias("_p")).select(
+    return rows.select(*keep, explode(pairs).alias("_p")).select(
         *keep, F.col("_p.idx").alias("idx"), F.col("_p.val").alias("val")
     )
 

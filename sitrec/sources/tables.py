@@ -1,8 +1,8 @@
 """Rating views over the event and order tables.
 
 ``events`` becomes contextual ratings (and weighted events), ``lineitem`` with ``orders`` becomes a
-large plain rating table.  Everything is a projection of the scan, so filters and column pruning
-still reach Parquet.
+large plain rating table.  Everything is a projection of the scan, so column pruning reaches Parquet, and so
+do filters on columns that keep their type; ``user_key`` is the user as the files have it.
 """
 
 from __future__ import annotations
@@ -42,6 +42,7 @@ def contextual_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
         "event_id as row_id",
         "cast(user_id as string) as userid",
+        "user_id as user_key",
         "get_json_object(props, '$.k') as itemid",
         f"1D + {steps} as rating",
         f"case {unknown} when weekday(ts) >= 5 then 'Weekend' else 'Weekday' end as Time",

@@ -34,6 +34,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table of this session that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back: lineage ends, the size is known to the optimizer."""
     spark = df.sparkSession

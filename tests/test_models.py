@@ -106,16 +106,16 @@ def test_compact_and_table_gradients_agree(spark, task):
     rows.append((999, 0.3, [], []))
     settings = FMSettings(task=task, dim=(True, True, K), reg=(0.1, 0.2, 0.3))
     data = frame(spark, rows).select("label", "idx", "val").repartition(3)
-    compact = fm_fit.CompactSpace(data, N, settings, -9.0, 9.0)
+    compact = fm_fit.CompactSpace(data, N, K, -9.0, 9.0)
     x = np.append(np.column_stack([w, v]).ravel(), w0)
-    loss, grad = compact.evaluate(x)
+    loss, grad = compact.evaluate([(x, settings)])[0]
 
-    table = fm_fit.TableSpace(data, N, settings, -9.0, 9.0)
+    table = fm_fit.TableSpace(data, N, K, -9.0, 9.0)
     given = spark.createDataFrame(
         [(i, [float(w[i]), *map(float, v[i])]) for i in range(N)] + [(-1, [w0] + [0.0] * K)], "idx bigint, x0 array<double>"
     )
-    table.state = table.state.join(given, "idx")
-    same_loss, g = table.evaluate("x0")
+    table._store(given)
+    same_loss, g = table.evaluate([("x0", settings)])[0]
     found = {r.idx: r[g] for r in table.state.collect()}
     assert same_loss == pytest.approx(loss)
     assert found[-1][0] == pytest.approx(grad[-1])
@@ -138,8 +138,8 @@ def test_lbfgs_on_a_quadratic():
     class Space:
         a = np.diag([1.0, 10.0, 100.0])
 
-        def evaluate(self, x):
-            return float(x @ self.a @ x / 2 - x.sum()), self.a @ x - 1.0
+        def evaluate(self, points):
+            return [(float(x @ self.a @ x / 2 - x.sum()), self.a @ x - 1.0) for x, _ in points]
 
         def gram(self, basis):
             return np.vstack(basis) @ np.vstack(basis).T
@@ -175,6 +175,46 @@ def test_same_seed_same_model(spark):
         assert x == pytest.approx(y)
 
 
+@pytest.mark.parametrize("task", ["regression", "classification"])
+def test_both_forms_give_one_model(spark, task):
+    rows = [*random_rows(60), (990, 0.4, [], []), (991, -0.2, [], [])]
+    settings = FMSettings(task=task, iterations=4, dim=(True, True, 2), reg=(0.1, 0.01, 0.01), init_std=0.1, seed=3)
+    a, b = (fm_fit.fm_train_lbfgs(frame(spark, rows), N, settings, compact_bytes=limit) for limit in (1 << 30, 0))
+    assert a.intercept == pytest.approx(b.intercept, abs=1e-9)
+    for x, y in zip(a.factors.orderBy("idx").collect(), b.factors.orderBy("idx").collect()):
+        assert x == pytest.approx(y, abs=1e-9)
+
+
+@pytest.mark.parametrize("limit", [1 << 30, 0])
+def test_unknown_features_are_refused(spark, limit):
+    with pytest.raises(ValueError):
+        fm_fit.fm_train_lbfgs(frame(spark, [(1, 0.5, [0, N], [1.0, 1.0])]), N, FMSettings(iterations=1), compact_bytes=limit)
+
+
+def test_points_side_by_side_equal_single_fits(spark):
+    rows = frame(spark, random_rows(80))
+    points = [FMSettings(iterations=5, dim=(b, True, 2), init_std=s, reg=(0.0, 0.1, 0.1)) for b in (True, False) for s in (0.05, 0.2)]
+    for p, together in zip(points, fm_fit.fm_train_points(rows, N, points)):
+        alone = fm_fit.fm_train_lbfgs(rows, N, p)
+        assert together.intercept == pytest.approx(alone.intercept)
+        for x, y in zip(together.factors.orderBy("idx").collect(), alone.factors.orderBy("idx").collect()):
+            assert x == pytest.approx(y)
+    errors = fm_fit.fm_validate_points(rows, rows, N, points)
+    assert errors[1] == pytest.approx(search.fm_rmse(fm_fit.fm_train_lbfgs(rows, N, points[1]), rows))
+
+
+def test_rows_without_features_count(spark):
+    """Half of the rows have no feature: the intercept learns from them, and they are scored."""
+    rows = [(i, 1.0 if i % 2 else 50.0, [0] if i % 2 else [], [1.0] if i % 2 else []) for i in range(10)]
+    long = long_features(frame(spark, rows), "row_id", "label", empty=True)
+    model = model_of(spark, 0.0, [0.0] * N, np.zeros((N, K)), low=-99.0, high=99.0)
+    seen = fm.mean_loss(fm.row_slopes(long, model)).first()
+    assert (seen.n, seen.dw0) == (10, -25.5)
+    assert fm.score_long(long, model).count() == 10
+    stepped = fm_fit.fm_train_sgd(frame(spark, rows), N, FMSettings(iterations=1, dim=(True, False, 1), init_std=0.0, reg=(0.0, 0.0, 0.0)))
+    assert stepped.intercept == pytest.approx(25.5)
+
+
 def test_sgd_lowers_the_loss(spark):
     seen = []
     fm_fit.fm_train_sgd(

@@ -152,7 +152,7 @@ def test_salted_join_equals_plain_join(spark, how):
 
 def test_hot_key_is_spread(spark):
     facts = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
-    hot = joins.hot_keys(facts, "k", share=0.01)
+    hot = joins.hot_keys(facts, "k", tasks=100)
     assert [r.k for r in hot.collect()] == [0]
     spread = joins.salted(facts, "k", hot, F.col("id")).groupBy("k", "_salt").count()
     assert spread.filter("k = 0").count() > 32
@@ -233,19 +233,17 @@ def test_personal_ratings_stay_twice(spark):
     assert relational.with_personal(df, own).count() == 9
 
 
-def test_pivot_and_limits(spark):
+def test_pivot(spark):
     df = table(spark)
-    values = relational.few_values(df, ["Location"])
-    assert values == {"Location": ["Cinema", "Home", "NA"]}
-    wide = relational.pivot_values(df, values, ["row_id"])
+    wide = relational.pivot_values(df, {"Location": ["Cinema", "Home", "NA"]}, ["row_id"])
     assert wide.filter("row_id = 5").first().asDict() == {
         "row_id": 5,
         "Location_Cinema": 1.0,
         "Location_Home": 0.0,
         "Location_NA": 0.0,
     }
-    with pytest.raises(ValueError):
-        relational.few_values(df, ["itemid"], most=2)
+    long = relational.pivot_long(df, ["Location", "Time"], ["row_id"])
+    assert {r.feature for r in long.filter("row_id = 5").collect() if r.feature.startswith("Location")} == {"Location_Cinema"}
 
 
 def test_row_ids_are_written_once(spark):
@@ -402,3 +400,39 @@ def test_word2vec_is_the_mean_of_the_words(spark):
     words = {r.word: r.vector.toArray() for r in model.getVectors().collect()}
     want = (2 * words["red"] + words["green"] + words["blue"]) / 4
     assert np.allclose(model.transform(df).first().vector.toArray(), want)
+
+
+def test_covariance_of_shifted_columns(spark):
+    """Columns around a billion: products of raw values would leave no digit of the variance."""
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(500, 3)) * [0.5, 0.5, 2.0] + [1e9, -1e9, 3.0]
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "a array<double>").repartition(5)
+    got = {(r.i, r.j): r.covariance for r in vectors.covariance(df, "a").collect()}
+    want = np.cov(x.T)
+    assert all(got[i, j] == pytest.approx(want[i, j], rel=1e-5, abs=1e-6) for i in range(3) for j in range(i, 3))
+
+
+@pytest.mark.parametrize("bad", [[[1.0, 2.0], None], [[1.0, 2.0], [1.0]], [[1.0, None], [1.0, 2.0]]])
+def test_covariance_refuses_ragged_rows(spark, bad):
+    df = spark.createDataFrame([(v,) for v in bad], "a array<double>").coalesce(1)
+    with pytest.raises(Exception, match="one length"):
+        vectors.covariance(df, "a").collect()
+
+
+def test_large_top_k_is_cut_in_two_steps(spark):
+    df = spark.range(5000).select((F.col("id") % 2).alias("g"), (F.col("id") * 7919 % 5003).alias("x"))
+    want = ordering.top_k_per(df, ["g"], 900, F.col("x").desc())
+    got = ordering.top_k_per(df, ["g"], 1100, F.col("x").desc())
+    assert got.columns == want.columns and got.count() == 2200
+    assert column(got.filter("rank <= 900"), "g", "x", "rank") == column(want, "g", "x", "rank")
+
+
+def test_joined_rmse_keeps_small_errors(spark):
+    from sitrec.models import evaluate
+
+    rows = [(str(i % 5), "a", 1e6 + i) for i in range(50)]
+    truth = spark.createDataFrame(rows, "userid string, itemid string, rating double")
+    exact = truth.groupBy("userid", "itemid").agg((F.avg("rating") + 1e-4).alias("prediction"))
+    got = evaluate.rmse_joined(exact, truth).first()
+    spread = np.sqrt(np.mean([(r - np.mean([x[2] for x in rows if x[0] == u]) - 1e-4) ** 2 for u, _, r in rows]))
+    assert got.rmse == pytest.approx(spread, rel=1e-9) and got.matched == 50
