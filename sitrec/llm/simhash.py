@@ -136,8 +136,8 @@ def linked_classes(nodes: DataFrame, words: int, distance: int, index_distance:
     """``id, root`` for nodes ``id, f0, f1, ...``; the root is one of the ids they can be reached from.
 
     First each variant's members are compared with one of them only, and what that links is one class.  Then
-    only variants whose members are of several classes are joined with themselves, and only pairs of
-    different classes are verified.  A dense group of near copies has become one class by then, so its pairs
+    variants whose members are all of one class are left out, the others are joined with themselves, and only
+    pairs of different classes are verified.  A dense group of near copies has become one class by then, so its pairs
     are never formed.  Members are compared in the join, so only links become rows.
     """
     parts = _parts(words)
@@ -155,8 +155,9 @@ def linked_classes(nodes: DataFrame, words: int, distance: int, index_distance:
     classed = written(classed.select("id", *parts, F.coalesce("root", "id").alias("root")), "classes")
 
     variants = _variants(classed.drop("id"), index_distance)
-    mixed = variants.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
-    members = variants.join(mixed.select("key").hint("merge"), "key")
+    held = variants.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"))
+    of_one_class = held.where("a = b and n > 1").select("key")
+    members = variants.join(of_one_class.hint("merge"), "key", "left_anti")
 
     def side(name: str) -> DataFrame:
         columns = [F.col(f).alias(f"{name}{k}") for k, f in enumerate(parts)]
