@@ -232,6 +232,13 @@ VIEWS: dict[str, tuple[str, str]] = {
 }
 
 
+def spot_split(key: str, last: str = "test", **upto: int) -> str:
+    """The seeded split in SQL: name of the part whose limit, in millionths, the hash of ``key`` stays below."""
+    spot = f"('0x' || substr(md5({key}), 1, 8))::bigint % 1000000"
+    parts = " ".join(f"when {spot} < {limit} then '{name}'" for name, limit in upto.items())
+    return f"case {parts} else '{last}' end"
+
+
 def with_views(sql: str, uses: list[str]) -> str:
     """Put the named views, and those they read, in front of a statement."""
     ordered: list[str] = []

@@ -16,12 +16,12 @@ from sitrec.checks.base import (
     scaled,
 )
 from sitrec.checks.learned import _pair_scores as pair_scores
+from sitrec.checks.machine import DESIGN_GRID
 from sitrec.functions.scalar import rounded
 from sitrec.models import als
 from sitrec.operators.ordering import top_k, top_k_per
 from sitrec.operators.relational import split_items
 from sitrec.plans import batch, recommend, stages
-from sitrec.models.fm_fit import FMSettings
 from sitrec.storage import new_path, written
 
 
@@ -230,8 +230,9 @@ def als_postfilter(spark, sf_dir):
 
 @query("staged_run")
 def staged_run(spark, sf_dir):
-    """Prepare, train and predict with tables between the steps."""
+    """Prepare, design, train with the stored parameters and predict, with tables between the steps."""
     path = new_path(spark, "run")
     stages.prepare(ratings(spark, sf_dir), path)
-    stages.train(spark, path, FMSettings(iterations=30, init_std=0.1, reg=(0.0, 0.0, 0.0)))
+    stages.design(spark, path, DESIGN_GRID)
+    stages.train(spark, path)
     return stages.predict(spark, path, USER_ID, CONTEXT)

@@ -93,15 +93,13 @@ def als_recommend_subset(spark, sf_dir):
 @query("als_tvs")
 def als_tvs(spark, sf_dir):
     train, test = _als_split(spark, sf_dir)
-    fitted = als.fit_grid(train, {"regParam": (0.01, 0.1), "maxIter": (2,), "rank": (1, 4)}, nonnegative=True)
+    fitted = als.fit_grid(train, nonnegative=True, parallelism=4)
     return fitted.bestModel.transform(test).select("row_id", "rating", "prediction")
 
 
 @query("als_search")
 def als_search(spark, sf_dir):
-    """Explicit and implicit fits in one grid, by validation RMSE."""
-    grid = {"rank": (1, 5), "regParam": (0.1,), "maxIter": (2,), "implicit": (False, True)}
-    return search.als_search(*_als_split(spark, sf_dir), grid)
+    return search.als_search(*_als_split(spark, sf_dir))
 
 
 @query("factor_dot", "select userid, itemid, round(prediction, 6) + 0.0 as prediction from pairs", "pairs")
@@ -152,8 +150,7 @@ def _context_vectors(spark, sf_dir):
 @query("linreg_grid")
 def linreg_grid(spark, sf_dir):
     vectors, _ = _context_vectors(spark, sf_dir)
-    grid = {"regParam": (0.1, 0.01), "fitIntercept": (False, True), "elasticNetParam": (0.0, 1.0)}
-    model = learners.linear_regression_grid(vectors, grid).bestModel
+    model = learners.linear_regression_grid(vectors).bestModel
     return model.transform(vectors).select("row_id", "label", "prediction")
 
 

@@ -161,17 +161,17 @@ def fm_sgd_step(spark, sf_dir):
 # ---- training ----------------------------------------------------------------------------------
 
 
-def _train(spark, sf_dir, fit, **settings):
+def _train(spark, sf_dir, fit, settings=FMSettings()):
     dictionary = feature_dictionary(ratings(spark, sf_dir))
     rows = encoded(spark, sf_dir, dictionary)
-    model = fit(rows, dictionary.count(), FMSettings(init_std=0.1, **settings))
+    model = fit(rows, dictionary.count(), settings)
     scored = score_contextual(scaled(spark, sf_dir), dictionary, model, row())
     return scored.select("row_id", F.col("rating").alias("label"), "prediction")
 
 
 @query("fm_lbfgs")
 def fm_lbfgs(spark, sf_dir):
-    return _train(spark, sf_dir, fm_train_lbfgs, iterations=20, reg=(0.0, 0.01, 0.01))
+    return _train(spark, sf_dir, fm_train_lbfgs, FMSettings(init_std=0.1, reg=(0.0, 0.01, 0.01)))
 
 
 @query("fm_lbfgs_quality", "select count(*) as n, true as inside, true as better from resc", "resc")
@@ -187,22 +187,22 @@ def fm_lbfgs_quality(spark, sf_dir):
 
 @query("fm_lbfgs_table")
 def fm_lbfgs_table(spark, sf_dir):
-    """The form for parameters that do not fit one machine."""
+    """The form for parameters that do not fit one machine; its steps are jobs, so it takes three of them here."""
 
     def fit(rows, n, settings):
         return fm_train_lbfgs(rows, n, settings, compact_bytes=0)
 
-    return _train(spark, sf_dir, fit, iterations=2, dim=(True, True, 4), reg=(0.0, 0.01, 0.01))
+    return _train(spark, sf_dir, fit, FMSettings(iterations=3))
 
 
 @query("fm_sgd")
 def fm_sgd(spark, sf_dir):
-    return _train(spark, sf_dir, fm_train_sgd, iterations=3, dim=(True, True, 4))
+    return _train(spark, sf_dir, fm_train_sgd, FMSettings(iterations=20))
 
 
 @query("fm_classify")
 def fm_classify(spark, sf_dir):
-    return _train(spark, sf_dir, fm_train_lbfgs, iterations=10, task=CLASSIFICATION, reg=(0.0, 0.01, 0.01))
+    return _train(spark, sf_dir, fm_train_lbfgs, FMSettings(task=CLASSIFICATION, init_std=0.1, reg=(0.0, 0.01, 0.01)))
 
 
 # ---- search ------------------------------------------------------------------------------------
@@ -270,22 +270,14 @@ def search_best(spark, sf_dir):
     return six(best[0].unionByName(best[1]), "rmse")
 
 
-SMALL_GRID = {
-    "iterations": (5,),
-    "global_bias": (True, False),
-    "one_way": (True,),
-    "factors": (2,),
-    "reg_intercept": (0.0,),
-    "reg_one_way": (0.0,),
-    "reg_pairwise": (0.1,),
-    "init_std": (0.1,),
-}
+# Twelve points of the design grid, on two folds: all 324 are the default of the search.
+DESIGN_GRID = search.FM_GRID | {"one_way": (True,), "reg_intercept": (0.0,), "reg_one_way": (0.0,), "init_std": (0.01, 0.1)}
 
 
 @query("fm_search")
 def fm_search(spark, sf_dir):
     dictionary = feature_dictionary(ratings(spark, sf_dir))
-    return search.fm_search(encoded(spark, sf_dir, dictionary), dictionary.count(), SMALL_GRID, folds=2)
+    return search.fm_search(encoded(spark, sf_dir, dictionary), dictionary.count(), DESIGN_GRID)
 
 
 @query(

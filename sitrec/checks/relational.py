@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sitrec.checks.base import CONTEXT, CONTEXT_VALUES, USER_ID, fine, query, ratings, row, scaled
+from sitrec.checks.base import CONTEXT, CONTEXT_VALUES, USER_ID, fine, query, ratings, row, scaled, spot_split
 from sitrec.functions.scalar import math_scalars, rounded
 from sitrec.operators import relational as ops
 from sitrec.operators.encoding import ENCODED, encode, feature_dictionary, index_table, string_index
@@ -289,24 +289,46 @@ def split_sizes(spark, sf_dir):
 
 @query(
     "hash_split",
+    f"""select userid, itemid, rating, {spot_split("'3:' || userid || ':' || itemid", train=600000, validation=800000)}
+      as split from plain""",
+    "plain",
+)
+def hash_split(spark, sf_dir):
+    """Random 60/20/20 by user and item."""
+    shares = {"train": 0.6, "validation": 0.2, "test": 0.2}
+    return ops.hash_split(tables.plain_ratings(spark, sf_dir), shares, "userid", "itemid", seed=3)
+
+
+@query(
+    "arithmetic_split",
     """, b as (select *, (userid * 7 + itemid * 13) % 10 as bucket from plain)
     select userid, itemid, rating, bucket,
       case when bucket < 6 then 'train' when bucket < 8 then 'validation' else 'test' end as split from b""",
     "plain",
 )
-def hash_split(spark, sf_dir):
+def arithmetic_split(spark, sf_dir):
     df = tables.plain_ratings(spark, sf_dir)
     bucket = ops.arithmetic_bucket(F.col("userid"), F.col("itemid"))
     return df.withColumn("bucket", bucket).withColumn("split", ops.three_way(F.col("bucket")))
 
 
-@query("random_split")
+@query(
+    "random_buckets",
+    f"""select {spot_split("'7:' || row_id", train=600000, validation=800000)} as split, count(*) as n from rat group by 1""",
+    "rat",
+)
+def random_buckets(spark, sf_dir):
+    shares = {"train": 0.6, "validation": 0.2, "test": 0.2}
+    return ops.split_sizes(ops.hash_split(ratings(spark, sf_dir), shares, "row_id", seed=7))
+
+
+@query("random_split", f"""select {spot_split("'11:' || row_id", train=800000)} as split, count(*) as n from rat group by 1""", "rat")
 def random_split(spark, sf_dir):
     split = ops.hash_split(ratings(spark, sf_dir), {"train": 0.8, "test": 0.2}, "row_id", seed=11)
     return ops.split_sizes(split)
 
 
-@query("sample_user")
+@query("sample_user", "select userid from (select distinct userid from rat) order by md5('0:' || userid), userid limit 1", "rat")
 def sample_user(spark, sf_dir):
     return sample_one(ratings(spark, sf_dir), "userid", seed=0)
 

@@ -20,6 +20,14 @@ def linear_regression(df: DataFrame, label: str = "label", features: str = "feat
     return LinearRegression(labelCol=label, featuresCol=features).fit(df)
 
 
+def linear_grid_points(grid: dict[str, Sequence] = LINEAR_GRID) -> list[dict]:
+    """The points in the order in which the grid search measures them."""
+    points = [{}]
+    for name, values in grid.items():
+        points = [p | {name: v} for p in points for v in values]
+    return points
+
+
 def linear_regression_grid(
     df: DataFrame,
     grid: dict[str, Sequence] = LINEAR_GRID,

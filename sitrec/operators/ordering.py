@@ -77,4 +77,5 @@ def top_k_per(df: DataFrame, keys: Sequence[str], k: int, *order: Column, rank:
 def sample_one(df: DataFrame, key: str, seed: int) -> DataFrame:
     """One key value at random, repeatable for a seed: the smallest seeded hash."""
     values = df.select(key).distinct()
-    return values.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(1)
+    spot = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
+    return values.orderBy(spot, key).limit(1)

@@ -107,13 +107,22 @@ def arithmetic_bucket(*keys: Column, seed: int = 0, buckets: int = BUCKETS) -> C
     return F.pmod(mixed, F.lit(buckets))
 
 
+def seeded_number(seed: int, *keys: str) -> Column:
+    """32 bits of md5 of seed and keys, as a long."""
+    text = F.concat_ws(":", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+
+
 def hash_split(df: DataFrame, weights: Mapping[str, float], *keys: str, seed: int = 0) -> DataFrame:
-    """Random split by weights, decided by a seeded hash of the row's keys."""
+    """Random split by weights, decided by a seeded hash of the row's keys as text.
+
+    The hash is md5, so that any engine can repeat the split.
+    """
     size = float(sum(weights.values()))
     if size <= 0 or min(weights.values()) < 0:
         raise ValueError("weights must not be negative and not all zero")
     fine = 1_000_000
-    spot = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(fine))
+    spot = F.pmod(seeded_number(seed, *keys), F.lit(fine))
     names = list(weights)
     part, upto = F, 0.0
     for name in names[:-1]:
