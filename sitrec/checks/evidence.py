@@ -27,7 +27,7 @@ from sitrec.checks.base import (
 )
 from sitrec.checks.feature import _embeddings, _vectors, _words
 from sitrec.checks.learned import _CONTEXT_FLAGS, _context_vectors
-from sitrec.checks.machine import DESIGN_GRID, encoded
+from sitrec.checks.machine import STAGED_GRID, encoded
 from sitrec.functions.scalar import rounded
 from sitrec.models import als, evaluate, learners, search
 from sitrec.models.fm import CLASSIFICATION, mean_loss, row_slopes, score_contextual
@@ -283,11 +283,11 @@ def _planted_rows(spark, sf_dir):
 def fm_held_out(spark, sf_dir):
     """Fitted on the training rows, the test rows are predicted better than by the training mean."""
     n, train, test = _planted_rows(spark, sf_dir)
-    settings = FMSettings(init_std=0.1, reg=(0.0, 0.001, 0.001))
+    settings = FMSettings(iterations=25, init_std=0.1, reg=(0.0, 0.001, 0.001))
     ref = evaluate.baseline(train, test, "label").first()["baseline_rmse"]
     rows = [
         ("lbfgs", test.count(), search.fm_rmse(fm_train_lbfgs(train, n, settings), test) < ref),
-        ("sgd", test.count(), search.fm_rmse(fm_train_sgd(train, n, replace(settings, iterations=8)), test) < ref),
+        ("sgd", test.count(), search.fm_rmse(fm_train_sgd(train, n, replace(settings, iterations=4)), test) < ref),
     ]
     return spark.createDataFrame(rows, "kind string, n bigint, better boolean")
 
@@ -302,7 +302,7 @@ def fm_classify_held_out(spark, sf_dir):
     n, train, test = _planted_rows(spark, sf_dir)
     sign = F.when(F.col("label") > 0.05, 1.0).otherwise(-1.0)
     train, test = train.withColumn("label", sign), test.withColumn("label", sign)
-    model = fm_train_lbfgs(train, n, FMSettings(task=CLASSIFICATION, init_std=0.1, reg=(0.0, 0.001, 0.001)))
+    model = fm_train_lbfgs(train, n, FMSettings(task=CLASSIFICATION, iterations=25, init_std=0.1, reg=(0.0, 0.001, 0.001)))
     long = long_features(test, "row_id", "label", empty=True)
     # the slope of a row on the right side is below a half
     right = row_slopes(long, model).agg(F.avg((F.abs("e") < 0.5).cast("double")).alias("a"), F.count(F.lit(1)).alias("n"))
@@ -357,7 +357,7 @@ def fm_recommend_renamed(spark, sf_dir):
 
 @query(
     "staged_facts",
-    """select (select count(*) from rat) as features, (select count(*) from dic) as dictionary, 24 as searched,
+    """select (select count(*) from rat) as features, (select count(*) from dic) as dictionary, 4 as searched,
     1 as params, true as known from dic limit 1""",
     "rat dic",
 )
@@ -365,7 +365,7 @@ def staged_facts(spark, sf_dir):
     """Prepare, design, train with the stored parameters, predict: what the tables between the steps hold."""
     path = new_path(spark, "run")
     stages.prepare(ratings(spark, sf_dir), path)
-    stages.design(spark, path, DESIGN_GRID)
+    stages.design(spark, path, STAGED_GRID)
     stages.train(spark, path)
     found = stages.predict(spark, path, USER_ID, CONTEXT)
     items = load_table(spark, f"{path}/dictionary").filter("name = 'itemid'").select(F.col("val").alias("itemid"))

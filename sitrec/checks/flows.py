@@ -16,7 +16,7 @@ from sitrec.checks.base import (
     scaled,
 )
 from sitrec.checks.learned import _pair_scores as pair_scores
-from sitrec.checks.machine import DESIGN_GRID
+from sitrec.checks.machine import STAGED_GRID
 from sitrec.functions.scalar import rounded
 from sitrec.models import als
 from sitrec.operators.ordering import top_k, top_k_per
@@ -157,6 +157,71 @@ def postfilter_weighted(spark, sf_dir):
     return six(_nonzero(found), "rating")
 
 
+# ---- many requests -----------------------------------------------------------------------------
+
+ASKED = (("Weekend", "Home", "Family"), ("Weekday", "Cinema", "Alone"), ("NA", "NA", "NA"))
+_ASKED = ", ".join(str(c) for c in ASKED)
+_ALL_SCORES = f""", c("Time", "Location", "Companion") as (values {_ASKED}),
+  sc as (select userid, itemid, round(sum(u * i), 6) + 0.0 as rating from ufac join ifac using (f)
+    group by userid, itemid having round(sum(u * i), 9) > 0),
+  offered as (select distinct itemid, "Time", "Location", "Companion" from rat5 join c using ("Time", "Location", "Companion"))"""
+
+
+def _batch_sql(rated):
+    return f"""{_ALL_SCORES} select * from (select userid, "Time", "Location", "Companion", itemid, rating,
+      row_number() over (partition by userid, "Time", "Location", "Companion" order by rating desc, itemid)::int as rank
+      from sc join offered o using (itemid) where not exists (select 1 from rat5 r where r.userid = sc.userid
+        and r.itemid = o.itemid {rated})) where rank <= 5"""
+
+
+def _batch(spark, sf_dir, flow):
+    """The best five of every user in three contexts."""
+    df = fine(spark, sf_dir)
+    names = ("Time", "Location", "Companion")
+    wanted = F.array(*(F.struct(F.lit(i).alias("i"), *(F.lit(v).alias(n) for n, v in zip(names, c))) for i, c in enumerate(ASKED)))
+    users = df.select("userid").distinct().select("userid", F.explode(wanted).alias("c"))
+    asked = users.select((F.col("userid").cast("bigint") * 3 + F.col("c.i")).alias("request_id"), "userid", *(F.col(f"c.{n}").alias(n) for n in names))
+    best = batch.recommend_filtered(asked, df, fixed_factors(df), 5, flow, minimum=5e-10)
+    return six(best.join(asked, "request_id").select("userid", *names, "itemid", "rating", "rank"), "rating")
+
+
+@query(
+    "prefilter_batch",
+    _batch_sql("""and r."Time" = o."Time" and r."Location" = o."Location" and r."Companion" = o."Companion" """),
+    "ufac ifac rat5",
+)
+def prefilter_batch(spark, sf_dir):
+    return _batch(spark, sf_dir, "pre")
+
+
+@query("postfilter_batch", _batch_sql(""), "ufac ifac rat5")
+def postfilter_batch(spark, sf_dir):
+    return _batch(spark, sf_dir, "post")
+
+
+@query(
+    "itemsplit_batch",
+    """, sp as (select userid,
+      itemid || chr(9) || "Time" || chr(9) || "Location" || chr(9) || "Companion" as itemid from rat),
+    ui as (select userid, row_number() over (order by count(*) desc, userid) - 1 as idx from sp group by userid),
+    ii as (select itemid, row_number() over (order by count(*) desc, itemid) - 1 as idx from sp group by itemid),
+    u as (select userid, f, ((idx * 17 + f * 5) % 23 - 11) / 20.0::double as u from ui, (select unnest(range(4)) as f)),
+    i as (select itemid, f, ((idx * 29 + f * 7) % 19 - 9) / 20.0::double as i from ii, (select unnest(range(4)) as f)),
+    s as (select userid, itemid, round(sum(u * i), 6) + 0.0 as rating from u join i using (f) group by userid, itemid
+      having round(sum(u * i), 9) > 0)
+    select * from (select userid, itemid, rating,
+      row_number() over (partition by userid order by rating desc, itemid)::int as rank
+      from s where not exists (select 1 from sp where sp.userid = s.userid and sp.itemid = s.itemid)) where rank <= 5""",
+    "rat",
+)
+def itemsplit_batch(spark, sf_dir):
+    """The best five items-in-context of every user."""
+    split = split_items(ratings(spark, sf_dir))
+    asked = split.select("userid").distinct().select(F.col("userid").cast("bigint").alias("request_id"), "userid")
+    best = batch.recommend_filtered(asked, split, fixed_factors(split), 5, "split", minimum=5e-10, chunk=16, block=64)
+    return six(best.join(asked, "request_id").select("userid", "itemid", "rating", "rank"), "rating")
+
+
 # ---- item splitting and ranked lists -----------------------------------------------------------
 
 
@@ -233,6 +298,6 @@ def staged_run(spark, sf_dir):
     """Prepare, design, train with the stored parameters and predict, with tables between the steps."""
     path = new_path(spark, "run")
     stages.prepare(ratings(spark, sf_dir), path)
-    stages.design(spark, path, DESIGN_GRID)
+    stages.design(spark, path, STAGED_GRID)
     stages.train(spark, path)
     return stages.predict(spark, path, USER_ID, CONTEXT)

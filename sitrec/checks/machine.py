@@ -272,6 +272,8 @@ def search_best(spark, sf_dir):
 
 # Twelve points of the design grid, on two folds: all 324 are the default of the search.
 DESIGN_GRID = search.FM_GRID | {"one_way": (True,), "reg_intercept": (0.0,), "reg_one_way": (0.0,), "init_std": (0.01, 0.1)}
+# The staged run has a whole search as one of its steps; two points keep it short.
+STAGED_GRID = DESIGN_GRID | {"iterations": (20,), "global_bias": (True,), "reg_pairwise": (0.0, 0.1), "init_std": (0.1,)}
 
 
 @query("fm_search")

@@ -20,8 +20,8 @@ from sitrec.models.fm import REGRESSION, FMModel, score_contextual
 from sitrec.operators.encoding import ENCODED
 from sitrec.operators.joins import task_share
 from sitrec.operators.ordering import top_k_per
-from sitrec.plans.recommend import item_vectors
-from sitrec.sources.ratings import ITEM
+from sitrec.plans.recommend import Factors, item_vectors
+from sitrec.sources.ratings import CONTEXTS, ITEM, USER
 from sitrec.storage import written
 
 CHUNK, BLOCK, STRIP = 1024, 16384, 64
@@ -118,3 +118,93 @@ def recommend_batch(
         block_scorer(model, k, minimum), f"request_id bigint, {ITEM} string, rating double"
     )
     return top_k_per(found, ["request_id"], k, F.col("rating").desc(), F.col(ITEM).asc())
+
+
+# ---- candidates that differ by request ---------------------------------------------------------
+
+DIGITS = 12  # scores are rounded so far that equal ones tie, whatever order the sums were made in
+
+
+def _filtered_scorer(k: int, minimum: float) -> Callable:
+    """Task function: best candidates of a block for every request of a chunk, without those it must not list."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                asked, offered = batch.column("_asked")[row].values, batch.column("_offered")[row].values
+                items = offered.field(ITEM)
+                place = {name: i for i, name in enumerate(items.to_pylist())}
+                factors = np.array(offered.field("features").to_pylist())
+                ids, skips = asked.field("request_id"), asked.field("skip").to_pylist()
+                vectors = np.array(asked.field("features").to_pylist())
+                who, what, ratings = [], [], []
+                for at in range(0, len(vectors), STRIP):
+                    strip = np.round(vectors[at : at + STRIP] @ factors.T, DIGITS)
+                    for j, scores in enumerate(strip):
+                        scores[[place[s] for s in skips[at + j] if s in place]] = -np.inf
+                        best = best_of(scores, k)
+                        best = best[scores[best] > minimum]
+                        who.append(np.full(len(best), at + j))
+                        what.append(best)
+                        ratings.append(scores[best])
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(np.concatenate(who))), items.take(pa.array(np.concatenate(what))), pa.array(np.concatenate(ratings))],
+                    names=["request_id", ITEM, "rating"],
+                )
+
+    return score
+
+
+def recommend_filtered(
+    requests: DataFrame,
+    ratings: DataFrame,
+    factors: Factors,
+    k: int,
+    flow: str = "pre",
+    contexts: Sequence[str] = CONTEXTS,
+    minimum: float = 0.0,
+    chunk: int = CHUNK,
+    block: int = BLOCK,
+) -> DataFrame:
+    """``request_id, itemid, rating, rank``: the k best unrated candidates of every request.
+
+    ``pre`` offers items rated in the request's context and leaves out those the user has rated in it; ``post``
+    leaves out whatever the user has rated.  ``split`` offers all items (in their contexts, as ``ratings`` and
+    ``factors`` have them) that the user has not rated.  ``requests`` has ``request_id`` (unique, bigint), the
+    user and, but for ``split``, the context columns.  Users without factors get nothing.
+
+    Candidates of a context are cut into blocks, requests into chunks; a task scores one chunk against one
+    block, with the block's part of each user's ratings to leave out.  Pairs do not become rows.
+    """
+    if flow not in ("pre", "post", "split"):
+        raise ValueError("flow must be 'pre', 'post' or 'split'")
+    keys = [] if flow == "split" else list(contexts)
+    asked = requests.select("request_id", USER, *keys)
+    known = factors.items.join(factors.item_factors, F.col("idx") == F.col("id")).select(ITEM, "features")
+    blocks = max(1, math.ceil(known.count() / block))
+    chunks = max(1, math.ceil(asked.count() / chunk))
+    cut = F.pmod(F.xxhash64(ITEM), F.lit(blocks)).cast("int").alias("_block")
+
+    facts = ratings.select(USER, ITEM, *keys)
+    offered = facts.groupBy(ITEM, *keys).agg(F.count(F.lit(1)).alias("_n")).join(known, ITEM)
+    if keys:
+        offered = offered.join(asked.select(*keys).distinct(), keys)
+    offered = offered.withColumn("_block", cut).groupBy("_block", *keys).agg(
+        F.sort_array(F.collect_list(F.struct(ITEM, F.col("features").cast("array<double>").alias("features")))).alias("_offered")
+    )
+    same = [USER, *keys] if flow == "pre" else [USER]
+    rated = facts.groupBy(*same, ITEM).agg(F.count(F.lit(1)).alias("_n")).drop("_n")
+    skips = asked.join(rated, same).groupBy("request_id", cut).agg(F.collect_list(ITEM).alias("skip"))
+
+    users = factors.users.join(factors.user_factors, F.col("idx") == F.col("id")).select(
+        USER, F.col("features").cast("array<double>").alias("features")
+    )
+    rows = asked.join(users, USER).withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    rows = rows.join(skips, ["request_id", "_block"], "left").withColumn("_chunk", F.pmod(F.xxhash64("request_id"), F.lit(chunks)))
+    none = F.array().cast("array<string>")
+    chunked = rows.groupBy("_chunk", "_block", *keys).agg(
+        F.collect_list(F.struct("request_id", "features", F.coalesce("skip", none).alias("skip"))).alias("_asked")
+    )
+    found = chunked.join(offered, ["_block", *keys]).select("_asked", "_offered")
+    found = found.mapInArrow(_filtered_scorer(k, minimum), f"request_id bigint, {ITEM} string, rating double")
+    return top_k_per(found, ["request_id"], k, F.col("rating").desc(), F.col(ITEM).asc())
