@@ -47,3 +47,12 @@ def repeatable(df: DataFrame) -> DataFrame:
     """
     plan = df._jdf.queryExecution().executedPlan().toString()
     return written(df, "rows") if "Exchange" in plan else df
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with a number ``_row`` for every row, written once.
+
+    Numbers computed anew in each scan are not the same ones: how files are divided into partitions depends on
+    the cores registered at that moment.  What joins rows by number reads them from this table.
+    """
+    return written(df.select("*", F.monotonically_increasing_id().alias("_row")), "rows")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitrec.llm.columns import ascii_lower, quoted, repeatable, text_or_empty, without
+from sitrec.llm.columns import ascii_lower, numbered, quoted, text_or_empty, without
 from sitrec.storage import written
 
 ADDED = ("keep_id", "group_size", "kept", "text_sha256")
@@ -52,8 +52,8 @@ def exact_dedup(
 
     Texts are equal when they are identical after lower-casing A-Z; a null text equals an empty
     one.  Of equal texts the row with the largest id stays (a null id is smaller than any other).
-    Rows that repeat text and id are copies too: the last of them in the order of the input stays,
-    as a scan of a table gives it; other inputs are written once.
+    Rows that repeat text and id are copies too: the last of them in the order of the input stays.
+    The input is written once with a number for each row, which all passes read.
     ``keep_id`` is null only if all ids of a group are.  Columns of ``docs`` that have the name of
     an added column are replaced; all others pass through.  An empty table gives an empty table.
 
@@ -63,13 +63,12 @@ def exact_dedup(
     that no task gets all copies of a text; the others are joined.  The filter's own key is the text
     in lower case, coarser than equality of texts, so no copy escapes it.
     """
-    clean = repeatable(without(docs, (*ADDED, *OWN)))
+    clean = without(docs, (*ADDED, *OWN))
     columns = [quoted(c) for c in clean.columns]
+    clean = numbered(clean)
     whole = text_or_empty(text)
     # the coarse key is much cheaper than the exact one and is all that most rows need
-    rows = clean.select(
-        *columns, F.monotonically_increasing_id().alias("_row"), F.xxhash64(F.lower(whole)).alias("_bloom")
-    )
+    rows = clean.select(*columns, "_row", F.xxhash64(F.lower(whole)).alias("_bloom"))
     total = clean.count()
     bits = filter_bits(total, most_bits)
     words = F.broadcast(repeated_bits(clean.select(F.xxhash64(F.lower(whole)).alias("_bloom")), bits))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitrec.llm.columns import quoted, repeatable, text_or_empty, without
+from sitrec.llm.columns import numbered, quoted, repeatable, text_or_empty, without
 from sitrec.llm.components import connected_components
 from sitrec.llm.joins import with_group
 from sitrec.llm.word_tokens import byte_slices, text_array
@@ -186,6 +186,7 @@ def near_classes(
     least_shingles: int = 0,
     text: str = "text",
     doc_id: str = "doc_id",
+    row: Column | None = None,
 ) -> DataFrame:
     """``doc_id, fingerprint, component_id, kept`` and ``_row`` for every row of ``docs``.
 
@@ -200,10 +201,12 @@ def near_classes(
     ids last) the first in the order of the input, ``_row``.  A null text is an empty one.  Rows that repeat
     an id are separate rows.  An empty table gives no rows.
 
+    ``_row`` is numbered in the one scan of ``docs`` unless ``row`` gives it.
+
     Texts do not move.  Copies are summed up to one node first; only distinct fingerprints are indexed.
     """
     parts = _parts(words)
-    keys = {"doc_id": quoted(doc_id), "_row": F.monotonically_increasing_id()}
+    keys = {"doc_id": quoted(doc_id), "_row": F.monotonically_increasing_id() if row is None else row}
     rows = written(fingerprints(repeatable(docs), shingle, words, text, keys), "fingerprints")
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "_row"))
     nodes = rows.groupBy(*parts).agg(
@@ -224,7 +227,8 @@ def near_classes(
 
 def near_dedup(docs: DataFrame, **how) -> DataFrame:
     """Rows of ``docs`` that ``near_classes`` keeps, with all their columns but for clashing ones (``_row``)."""
-    clean = repeatable(without(docs, ["_row"]))
-    kept = written(near_classes(clean, **how).where("kept").select("_row"), "kept")
+    clean = without(docs, ["_row"])
     columns = [quoted(c) for c in clean.columns]
-    return clean.select(*columns, F.monotonically_increasing_id().alias("_row")).join(kept, "_row", "left_semi").select(*columns)
+    rows = numbered(clean)
+    kept = written(near_classes(rows, row=F.col("_row"), **how).where("kept").select("_row"), "kept")
+    return rows.join(kept, "_row", "left_semi").select(*columns)

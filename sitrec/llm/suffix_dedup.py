@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitrec.llm.columns import quoted, repeatable, text_or_empty
+from sitrec.llm.columns import numbered, quoted, text_or_empty
 from sitrec.llm.joins import with_group
 from sitrec.llm.word_tokens import byte_slices, gathered, text_array
 from sitrec.storage import written
@@ -456,8 +456,7 @@ def suffix_dedup(
     """
     kind = docs.select(quoted(doc_id)).schema[0].dataType.simpleString()
     whole = text_or_empty(text)
-    rows = repeatable(docs.select(quoted(doc_id).alias("doc_id"), whole.alias("text")))
-    rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    rows = numbered(docs.select(quoted(doc_id).alias("doc_id"), whole.alias("text")))
     spans = repeated_spans(rows.select("_row", "text"), length, gram, many)
     by_row = written(spans.groupBy("_row").agg(F.collect_list(F.struct("begin", "end")).alias("spans")), "spans")
     joined = rows.join(by_row.hint("merge"), "_row", "left").select("doc_id", "text", "spans")
