@@ -34,8 +34,11 @@ class Band:
 
 #: Scripts in the order that decides ties; a text of any other script, or without letters, falls under "other".
 SCRIPTS = ("Latin", "Cyrillic", "Greek", "Arabic", "Hebrew", "Devanagari", "Han", "Hiragana", "Katakana", "Hangul", "Thai")
+#: Latin is measured: clean documents of sf0.1 have 1.88-2.32 characters a token (1st-99th percentile), English
+#: licence texts 3.1-4.0; their relative entropy is 0.65 and more, their fallback 0.  The margins are 12 %, 24 %,
+#: 11 % and five tokens in a hundred.  There is no clean text of other scripts here to measure; theirs are wide.
 BANDS: dict[str, Band] = {
-    "Latin": Band(1.0, 8.0, 0.25),
+    "Latin": Band(1.65, 5.0, 0.05, 0.58),
     "Cyrillic": Band(0.8, 7.0, 0.25),
     "Greek": Band(0.5, 6.0, 0.6),
     "Arabic": Band(0.4, 6.0, 0.6),
