@@ -11,5 +11,6 @@ from sitrec.llm import (  # noqa: F401
     q_simhash,
     q_suffix_dedup,
     q_token_files,
+    q_whitening,
 )
 from sitrec.llm.registry import QUERIES, SQL  # noqa: F401
