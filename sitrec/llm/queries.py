@@ -9,6 +9,7 @@ from sitrec.llm import (  # noqa: F401
     q_piece_counts,
     q_quality_fm,
     q_simhash,
+    q_spelling,
     q_suffix_dedup,
     q_token_files,
     q_whitening,
