@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitrec.llm.joins import share, spread
 from sitrec.storage import written
 
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
-    """One step: every node ties its larger (or not larger) neighbours to the smallest of them all."""
+def _stars(edges: DataFrame, large: bool, limit: int) -> DataFrame:
+    """One step: every node ties its larger (or not larger) neighbours to the smallest of them all.
+
+    A centre with more than ``limit`` neighbours is divided.
+    """
     if large:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         both = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    joined = both.join(least.hint("merge"), "u")
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+    joined = spread(both, least.drop("n"), least.where(F.col("n") > limit), "n", limit, ["u"])
     if large:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -32,8 +36,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     the logarithm of the largest component; a node's edges are summed up before they move.
     """
     table, seen = edges.select("u", "v").where("u <> v"), None
+    limit = share(2 * table.count())  # stars do not add edges
     while True:
-        table = written(_stars(_stars(table, True), False), "edges")
+        table = written(_stars(_stars(table, True, limit), False, limit), "edges")
         now = table.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             return table.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(

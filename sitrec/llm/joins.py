@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitrec.storage import written
+
 HOT = 1024  # a group with more than this fraction of the rows is large; there are fewer such groups
+SHARES, LEAST = 4096, 512  # a key keeps a part of this fraction of the rows, or so many rows, together
 
 
 def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
@@ -21,3 +26,62 @@ def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, t
     names = hot.select(*keys)
     cold = rows.join(F.broadcast(names), keys, "left_anti").join(groups.where(~large).hint("merge"), keys)
     return rows.join(F.broadcast(hot), keys).unionByName(cold)
+
+
+def spread_join(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join of ``rows`` with ``facts`` in which no task gets all rows of a frequent key.
+
+    Keys with more than ``LEAST`` rows and more than one in ``SHARES`` of all are divided into parts of that many
+    rows, and their facts are copied to every part.  There are at most ``SHARES`` such keys; only their names
+    and numbers of parts are broadcast.  ``rows`` is read twice, so it should be a written table.
+    """
+    keys = list(keys)
+    counts = written(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > LEAST), "counts")
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    if not total:
+        return rows.join(facts.hint("merge"), keys, how)
+    limit = share(rows.count())
+    return spread(rows, facts, counts.where(F.col("_n") > limit), "_n", limit, keys, how)
+
+
+def share(total: int) -> int:
+    """Rows of a key that stay together, of ``total`` rows."""
+    return max(LEAST, total // SHARES)
+
+
+def spread(
+    rows: DataFrame, facts: DataFrame, hot: DataFrame, count: str, limit: int, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join of ``rows`` with ``facts``; the ``hot`` keys are divided into parts of ``limit`` of their ``count`` rows.
+
+    Rows with a missing key match nothing and are dealt out evenly.
+    """
+    keys = list(keys)
+    hot = hot.select(*keys, F.ceil(F.col(count) / limit).cast("int").alias("_parts"))
+    hashed = F.xxhash64(*rows.columns)
+    missing = F.greatest(*(F.col(k).isNull() for k in keys), F.lit(False))
+    part = F.pmod(hashed, F.when(missing, F.lit(SHARES)).otherwise(F.coalesce("_parts", F.lit(1))))
+    dealt = rows.join(F.broadcast(hot), keys, "left").select(*rows.columns, part.cast("int").alias("_part"))
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)).alias("_part")
+    copied = facts.join(F.broadcast(hot), keys, "left").select(*facts.columns, copies)
+    return dealt.join(copied.hint("merge"), [*keys, "_part"], how).drop("_part")
+
+
+def maybe_among(rows: DataFrame, column: Column, known: DataFrame, bits: int) -> DataFrame:
+    """``rows`` with ``_maybe``: false only where ``column`` is not in the one column of ``known``.
+
+    A bit each of ``bits`` (8 MB at most by ``filter_bits``) is broadcast.
+    """
+
+    def slot(value: Column) -> Column:
+        return F.xxhash64(value).bitwiseAND(bits - 1)
+
+    def bit(value: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), slot(value).bitwiseAND(63).cast("int"))
+
+    own = F.col(known.columns[0])
+    words = known.select(F.shiftright(slot(own), 6).alias("_word"), bit(own).alias("_one"))
+    words = words.groupBy("_word").agg(F.bit_or("_one").alias("_mask"))
+    looked = rows.withColumn("_at", F.shiftright(slot(column), 6)).join(F.broadcast(words), F.col("_at") == F.col("_word"), "left")
+    hit = F.coalesce(F.col("_mask").bitwiseAND(bit(column)) != 0, F.lit(False))
+    return looked.withColumn("_maybe", hit).drop("_at", "_word", "_mask")

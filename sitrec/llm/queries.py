@@ -8,6 +8,7 @@ from sitrec.llm import (  # noqa: F401
     q_packing,
     q_piece_counts,
     q_quality_fm,
+    q_set_sketch,
     q_simhash,
     q_spelling,
     q_suffix_dedup,

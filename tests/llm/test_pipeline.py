@@ -5,11 +5,11 @@ from collections import Counter, defaultdict
 
 import pytest
 from test_mixing import drawn
-from test_simhash import components, differing, slow_fingerprint
+from test_near_copies import sets as shingles
+from test_simhash import components
 
 import corpus_pipeline
 from sitrec.llm.language import Classifier, learn
-from sitrec.llm.simhash import segments
 
 
 @pytest.fixture(scope="module")
@@ -47,15 +47,12 @@ def test_exact(steps):
 
 
 def test_near(steps):
+    """What stays is the first of each group that plain Jaccard similarity of five-word shingles links."""
     given = rows(steps[2])
-    prints = [slow_fingerprint(r.text, 5, 2) for r in given]
-
-    def linked(a, b):
-        near = any(((a[0][0] ^ b[0][0]) >> s & (1 << w) - 1).bit_count() <= 1 for s, w in segments(7))
-        return a[0] == b[0] or min(a[1], b[1]) >= 8 and near and differing(a[0], b[0]) <= 22
-
-    tops = components(prints, linked)
+    sets = [shingles(r.text) for r in given]
+    tops = components(sets, lambda a, b: a == b or 5 * len(a & b) >= 4 * len(a | b))
     assert rows(steps[3]) == [given[i] for i in sorted(set(tops))]
+    assert steps[3].count() < len(given)
 
 
 def test_mixing(steps):
