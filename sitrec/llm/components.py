@@ -19,7 +19,8 @@ def _stars(edges: DataFrame, large: bool, limit: int) -> DataFrame:
     else:
         both = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
-    joined = spread(both, least.drop("n"), least.where(F.col("n") > limit), "n", limit, ["u"])
+    centres = least.select("u", F.col("n").alias("_n")).where(F.col("_n") > limit)
+    joined = spread(both, least.drop("n"), (centres, limit), ["u"])
     if large:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

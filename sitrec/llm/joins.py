@@ -28,45 +28,55 @@ def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, t
     return rows.join(F.broadcast(hot), keys).unionByName(cold)
 
 
-def spread_join(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join of ``rows`` with ``facts`` in which no task gets all rows of a frequent key.
-
-    Keys with more than ``LEAST`` rows and more than one in ``SHARES`` of all are divided into parts of that many
-    rows, and their facts are copied to every part.  There are at most ``SHARES`` such keys; only their names
-    and numbers of parts are broadcast.  ``rows`` is read twice, so it should be a written table.
-    """
-    keys = list(keys)
-    counts = written(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > LEAST), "counts")
-    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    if not total:
-        return rows.join(facts.hint("merge"), keys, how)
-    limit = share(rows.count())
-    return spread(rows, facts, counts.where(F.col("_n") > limit), "_n", limit, keys, how)
-
-
 def share(total: int) -> int:
     """Rows of a key that stay together, of ``total`` rows."""
     return max(LEAST, total // SHARES)
 
 
+def frequent(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame | None, int]:
+    """Keys of ``rows`` with more rows (``_n``) than stay together, if there are any, and how many do.
+
+    There are at most ``SHARES`` such keys.
+    """
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    total, most = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
+    limit = share(total)
+    return (counts.where(F.col("_n") > limit) if most > limit else None), limit
+
+
 def spread(
-    rows: DataFrame, facts: DataFrame, hot: DataFrame, count: str, limit: int, keys: Sequence[str], how: str = "inner"
+    rows: DataFrame,
+    facts: DataFrame,
+    hot: tuple[DataFrame | None, int],
+    keys: Sequence[str],
+    how: str = "inner",
+    by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Join of ``rows`` with ``facts``; the ``hot`` keys are divided into parts of ``limit`` of their ``count`` rows.
+    """Join of ``rows`` with ``facts`` in which no task gets all rows of a frequent key.
 
-    Rows with a missing key match nothing and are dealt out evenly.
+    The ``hot`` keys are divided into parts of as many rows as stay together, and their facts are copied to every
+    part; only the keys and their numbers of parts are broadcast.  A hash of the columns ``by`` (all by default) deals
+    rows out.  Rows with a missing key match nothing and are dealt out evenly.
     """
     keys = list(keys)
-    hot = hot.select(*keys, F.ceil(F.col(count) / limit).cast("int").alias("_parts"))
-    hashed = F.xxhash64(*rows.columns)
+    frequent_keys, limit = hot
+    if frequent_keys is None:
+        return rows.join(facts.hint("merge"), keys, how)
+    names = frequent_keys.select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_parts"))
     missing = F.greatest(*(F.col(k).isNull() for k in keys), F.lit(False))
-    part = F.pmod(hashed, F.when(missing, F.lit(SHARES)).otherwise(F.coalesce("_parts", F.lit(1))))
-    dealt = rows.join(F.broadcast(hot), keys, "left").select(*rows.columns, part.cast("int").alias("_part"))
+    parts = F.when(missing, F.lit(SHARES)).otherwise(F.coalesce("_parts", F.lit(1)))
+    part = F.pmod(F.xxhash64(*(by or rows.columns)), parts).cast("int").alias("_part")
+    dealt = rows.join(F.broadcast(names), keys, "left").select(*rows.columns, part)
     copies = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)).alias("_part")
-    copied = facts.join(F.broadcast(hot), keys, "left").select(*facts.columns, copies)
+    copied = facts.join(F.broadcast(names), keys, "left").select(*facts.columns, copies)
     return dealt.join(copied.hint("merge"), [*keys, "_part"], how).drop("_part")
 
 
+def spread_join(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """``spread`` by the keys that are frequent in ``rows``, which is read twice: it should be a written table."""
+    return spread(rows, facts, frequent(rows, keys), keys, how)
+
+
 def maybe_among(rows: DataFrame, column: Column, known: DataFrame, bits: int) -> DataFrame:
     """``rows`` with ``_maybe``: false only where ``column`` is not in the one column of ``known``.
 

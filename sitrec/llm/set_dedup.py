@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from sitrec.llm.columns import quoted, text_or_empty
 from sitrec.llm.components import connected_components
 from sitrec.llm.exact_dedup import filter_bits
-from sitrec.llm.joins import maybe_among, spread_join
+from sitrec.llm.joins import frequent, maybe_among, spread, spread_join
 from sitrec.llm.set_sketch import SLICE, band_keys, bits, can_be, digests, most_differing, registers, shingle_sets
 from sitrec.llm.word_tokens import byte_slices, text_array
 from sitrec.storage import written
@@ -98,13 +98,12 @@ def _alike(rule: Rule, a: str, b: str) -> Column:
 
 
 def _paired(pairs: DataFrame, facts: DataFrame, columns: list[str]) -> DataFrame:
-    """``pairs`` with the ``columns`` of ``facts`` for ``u`` and for ``v``, ending in ``_u`` and ``_v``."""
+    """The written ``pairs`` with the ``columns`` of ``facts`` for ``u`` and for ``v``, ending in ``_u`` and ``_v``."""
+    out = pairs
     for side in ("u", "v"):
         named = facts.select(F.col("id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
-        pairs = spread_join(pairs, named, [side])
-        if side == "u":
-            pairs = written(pairs, "half")
-    return pairs
+        out = spread(out, named, frequent(pairs, [side]), [side], by=["u", "v"])
+    return out
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -152,6 +151,27 @@ def _sets(rows: DataFrame, wanted: DataFrame, rule: Rule, total: int) -> DataFra
     return written(asked.mapInArrow(to_sets, "id long, hashes binary"), "sets")
 
 
+def _shareable(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``id, own``: how many shingles each of the ``members`` (``id``) has that no other of them has.
+
+    Those cannot be common to a pair.  Shingles are counted with partial sums, and only numbers of the single
+    ones come back.
+    """
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                hashes = np.frombuffer(batch.column(1)[i].as_buffer(), np.int64)
+                for at in range(0, len(hashes), 1 << 16):
+                    some = hashes[at : at + (1 << 16)]
+                    number = pa.array(np.full(len(some), batch.column(0)[i].as_py(), np.int64))
+                    yield pa.RecordBatch.from_arrays([number, pa.array(some)], names=["id", "shingle"])
+
+    held = sets.join(members.hint("merge"), "id", "left_semi").select("id", "hashes")
+    counts = held.mapInArrow(listed, "id long, shingle long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+    return counts.where("n = 1").groupBy("id").agg(F.count("*").alias("own"))
+
+
 def _labelled(nodes: DataFrame, classes: DataFrame) -> DataFrame:
     """``id, root`` of all nodes; one that is linked with nothing is its own root."""
     named = nodes.select("id").join(classes.select(F.col("node").alias("id"), "root").hint("merge"), "id", "left")
@@ -164,7 +184,7 @@ def _classes(nodes: DataFrame, rows: DataFrame, rule: Rule, total: int) -> DataF
     Nodes that share a band meet as ``shared`` rows.  Every node is compared with the first node of each of its
     bands: with the one it shares most bands with, then with those that are still of another class.  What remains are
     bands with several classes; only there nodes are joined with each other, across classes.  Joins compare
-    bits and sizes, so pairs that cannot be linked never become rows.
+    bits, sizes and how much of a set no other node there has, so pairs that cannot be linked hardly become rows.
     """
     parts = [f"b{k}" for k in range(rule.words)]
     entries = written(_entries(nodes, rule), "bands")
@@ -197,13 +217,21 @@ def _classes(nodes: DataFrame, rows: DataFrame, rule: Rule, total: int) -> DataF
     members = written(members, "members")
     mixed = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
     members = written(spread_join(members, mixed, ["key"]), "members")
+    for _ in range(2):  # what is left out makes more shingles single
+        own = _shareable(members.select("id").distinct(), sets)
+        known = members.drop("shareable").join(own.hint("merge"), "id", "left")
+        known = known.withColumn("shareable", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")
+        members = written(known.where(F.col("shareable") * 100 >= F.col("size") * rule.percent), "members")
 
     def side(name: str) -> DataFrame:
         columns = [F.col(f"b{k}").alias(f"{name}{k}") for k in range(rule.words)]
-        return members.select("key", F.col("id").alias(name), F.col("size").alias(f"size_{name}"), F.col("root").alias(f"r{name}"), *columns)
+        more = [F.col(c).alias(f"{c}_{name}") for c in ("size", "shareable")]
+        return members.select("key", F.col("id").alias(name), F.col("root").alias(f"r{name}"), *more, *columns)
 
     crossing = spread_join(side("u"), side("v"), ["key"])
-    crossing = crossing.where("ru < rv").where(rule.fits("size_u", "size_v") & _alike(rule, "u", "v"))
+    common = F.least("shareable_u", "shareable_v")
+    possible = common * 100 >= (F.col("size_u") + F.col("size_v") - common) * rule.percent
+    crossing = crossing.where("ru < rv").where(possible & _alike(rule, "u", "v"))
     crossing = crossing.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     tested = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     last = verified(crossing.join(tested.hint("merge"), ["u", "v"], "left_anti"), nodes, sets, rule)

@@ -69,10 +69,10 @@ def test_awkward_rows(spark):
     assert near_sets(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-@pytest.mark.parametrize("spread", [512, 3])
-def test_links_around_the_limit(spark, monkeypatch, spread):
+@pytest.mark.parametrize("together", [512, 3])
+def test_links_around_the_limit(spark, monkeypatch, together):
     """Similarities from 0.7 to 0.99, short texts, groups of copies; small parts for frequent keys give the same."""
-    monkeypatch.setattr(joins, "LEAST", spread)
+    monkeypatch.setattr(joins, "LEAST", together)
     texts = family(1, 30, 100, 1) + family(2, 30, 100, 2, "g") + family(3, 30, 60, 3, "h") + family(4, 20, 14, 1, "s")
     for k in range(1, 9):
         w = [f"t{k}x{j}" for j in range(k)]
@@ -146,3 +146,16 @@ def test_estimate(share, sizes):
     words = bits(first) ^ bits(second)
     differ = np.array([sum(int(x).bit_count() for x in row) for row in words])
     assert (differ <= most_differing(min(truth), 192)).all()
+
+
+def test_edited_family(spark):
+    """Copies of one text with a few to many edits each: some are linked in chains, many with nothing."""
+    rng, base, texts = random.Random(9), [f"b{k}" for k in range(150)], []
+    for i in range(150):
+        w = list(base)
+        for at in rng.sample(range(150), rng.randrange(0, 16)):
+            w[at] = f"x{i}y{at}"
+        texts.append(" ".join(w))
+    want = expected(list(enumerate(texts)))
+    assert got(near_sets(frame(spark, texts))) == want
+    assert 20 < sum(r[3] for r in want) < 140
