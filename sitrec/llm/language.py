@@ -16,6 +16,7 @@ from sitrec.llm.word_tokens import byte_slices, text_array
 
 UNKNOWN = "und"
 LEVEL = 6
+SLICE = 1 << 20  # bytes of texts that are judged at a time
 CHUNK = 4096  # bytes of a text that are compressed together, so that a long text keeps using the dictionary
 SHORT = 512  # bytes up to which a text is measured behind contexts; alone it would hardly be compressed
 CONTEXT = 1024  # bytes of a context
@@ -127,7 +128,7 @@ def identify(docs: DataFrame, model: Mapping[str, tuple[bytes, list[bytes]]], te
         classifier = Classifier(shared.value)
         for batch in batches:
             texts = text_array(batch.column(at))
-            for begin, part in byte_slices(texts):
+            for begin, part in byte_slices(texts, SLICE):
                 lettered = pc.match_substring_regex(part, r"\p{L}").to_pylist()
                 found = [
                     classifier.predict(t) if ok and classifier.names else (UNKNOWN, 0.0, True)

@@ -15,6 +15,7 @@ from sitrec.llm.columns import quoted, text_or_empty
 from sitrec.llm.word_tokens import WordEncoder, byte_slices, text_array, tokenizer_path
 from sitrec.storage import written
 
+SLICE = 2 << 20  # bytes of texts that are encoded at a time
 GROUP = 65_536  # pieces that one task packs together; a group leaves at most about one loose sequence
 
 
@@ -29,7 +30,7 @@ def pieces(
         encoder = WordEncoder(path)
         for batch in batches:
             keys, texts = batch.column(0), text_array(batch.column(1))
-            for begin, part in byte_slices(texts):
+            for begin, part in byte_slices(texts, SLICE):
                 ids, offsets = encoder.encode(part, end_id)
                 ids = ids.astype("<u4", copy=False)
                 counts = -(-np.diff(offsets) // capacity)
