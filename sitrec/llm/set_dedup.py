@@ -19,6 +19,9 @@ from sitrec.llm.word_tokens import byte_slices, text_array
 from sitrec.storage import written
 
 
+RARE = 16  # nodes; shingles that so few have name the pairs that they make
+
+
 class Rule:
     """Which sets are linked, and the sketch that finds them.
 
@@ -151,12 +154,8 @@ def _sets(rows: DataFrame, wanted: DataFrame, rule: Rule, total: int) -> DataFra
     return written(asked.mapInArrow(to_sets, "id long, hashes binary"), "sets")
 
 
-def _shareable(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """``id, own``: how many shingles each of the ``members`` (``id``) has that no other of them has.
-
-    Those cannot be common to a pair.  Shingles are counted with partial sums, and only numbers of the single
-    ones come back.
-    """
+def _rare_shingles(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``id, shingle, n`` for the shingles of ``members`` (``id``) that ``RARE`` of them have or fewer."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,8 +167,9 @@ def _shareable(members: DataFrame, sets: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([number, pa.array(some)], names=["id", "shingle"])
 
     held = sets.join(members.hint("merge"), "id", "left_semi").select("id", "hashes")
-    counts = held.mapInArrow(listed, "id long, shingle long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id"))
-    return counts.where("n = 1").groupBy("id").agg(F.count("*").alias("own"))
+    rows = written(held.mapInArrow(listed, "id long, shingle long"), "shingles")
+    rare = rows.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") <= RARE)
+    return written(spread_join(rows, written(rare, "rare"), ["shingle"]), "rare")
 
 
 def _labelled(nodes: DataFrame, classes: DataFrame) -> DataFrame:
@@ -181,17 +181,23 @@ def _labelled(nodes: DataFrame, classes: DataFrame) -> DataFrame:
 def _classes(nodes: DataFrame, rows: DataFrame, rule: Rule, total: int) -> DataFrame:
     """``id, root`` of the nodes that are linked with others.
 
-    Nodes that share a band meet as ``shared`` rows.  Every node is compared with the first node of each of its
-    bands: with the one it shares most bands with, then with those that are still of another class.  What remains are
-    bands with several classes; only there nodes are joined with each other, across classes.  Joins compare
-    bits, sizes and how much of a set no other node there has, so pairs that cannot be linked hardly become rows.
+    Nodes that share a band meet as ``shared`` rows.  The centre of a band is the node that meets most others in all
+    its bands.  Every node is compared with the centres of its bands: with the one it shares most bands with, then
+    with those that are still of another class.  What remains are
+    bands with several classes; only there nodes are joined with each other, across classes.  Two such nodes either
+    have a rare shingle in common, of which no node makes more than ``RARE`` pairs, or nothing but other shingles,
+    which have to be enough.  Joins compare this, sizes and bits, so pairs that cannot be linked hardly become rows.
     """
     parts = [f"b{k}" for k in range(rule.words)]
     entries = written(_entries(nodes, rule), "bands")
-    least = entries.groupBy("key").agg(F.min(F.struct("id", "size", *parts)).alias("m"), F.count("*").alias("n"))
-    least = written(least.where("n > 1").select("key", "n", "m.*").toDF("key", "n", "m", "msize", *(f"m{k}" for k in range(rule.words))), "firsts")
-    shared = written(spread_join(entries, least.drop("n"), ["key"]), "shared")
-    star = shared.where("id <> m").where(rule.fits("size", "msize") & _alike(rule, "b", "m"))
+    counts = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(spread_join(entries, written(counts, "repeated"), ["key"]), "shared")
+    popular = shared.groupBy("id").agg(F.sum("n").alias("popular"))
+    shared = written(shared.drop("n").join(popular.hint("merge"), "id"), "shared")
+    centre = F.max_by(F.struct("id", "size", *parts), F.struct("popular", (-F.col("id")).alias("least"))).alias("m")
+    centres = shared.groupBy("key").agg(centre).select("key", "m.*").toDF("key", "m", "msize", *(f"m{k}" for k in range(rule.words)))
+    star = spread_join(shared, written(centres, "centres"), ["key"])
+    star = star.where("id <> m").where(rule.fits("size", "msize") & _alike(rule, "b", "m"))
     star = written(star.groupBy(F.col("m").alias("u"), F.col("id").alias("v")).agg(F.count("*").alias("n")), "star")
 
     wanted = shared.select("id").distinct().join(nodes.select("id", "t0", "t1").hint("merge"), "id")
@@ -217,24 +223,29 @@ def _classes(nodes: DataFrame, rows: DataFrame, rule: Rule, total: int) -> DataF
     members = written(members, "members")
     mixed = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
     members = written(spread_join(members, mixed, ["key"]), "members")
-    for _ in range(2):  # what is left out makes more shingles single
-        own = _shareable(members.select("id").distinct(), sets)
-        known = members.drop("shareable").join(own.hint("merge"), "id", "left")
-        known = known.withColumn("shareable", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")
-        members = written(known.where(F.col("shareable") * 100 >= F.col("size") * rule.percent), "members")
+    rare = _rare_shingles(members.select("id").distinct(), sets)
+    few = written(rare.groupBy("id").agg(F.count("*").alias("few")), "few")
+    known = members.drop("key").distinct().join(few.hint("merge"), "id", "left")
+    known = written(known.withColumn("other", F.col("size") - F.coalesce("few", F.lit(0))).drop("few"), "known")
 
-    def side(name: str) -> DataFrame:
+    def side(table: DataFrame, name: str, meeting: str) -> DataFrame:
         columns = [F.col(f"b{k}").alias(f"{name}{k}") for k in range(rule.words)]
-        more = [F.col(c).alias(f"{c}_{name}") for c in ("size", "shareable")]
-        return members.select("key", F.col("id").alias(name), F.col("root").alias(f"r{name}"), *more, *columns)
+        more = [F.col(c).alias(f"{c}_{name}") for c in ("size", "other")]
+        return table.select(meeting, F.col("id").alias(name), F.col("root").alias(f"r{name}"), *more, *columns)
+
+    def crossing(table: DataFrame, meeting: str, able: Column) -> DataFrame:
+        pairs = spread_join(side(table, "u", meeting), side(table, "v", meeting), [meeting])
+        pairs = pairs.where("ru < rv").where(rule.fits("size_u", "size_v") & able & _alike(rule, "u", "v"))
+        return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
 
-    crossing = spread_join(side("u"), side("v"), ["key"])
-    common = F.least("shareable_u", "shareable_v")
+    common = F.least("other_u", "other_v")
     possible = common * 100 >= (F.col("size_u") + F.col("size_v") - common) * rule.percent
-    crossing = crossing.where("ru < rv").where(possible & _alike(rule, "u", "v"))
-    crossing = crossing.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    able = known.where(F.col("other") * 100 >= F.col("size") * rule.percent).select("id", "other")
+    banded = written(members.join(able.hint("merge"), "id"), "members")
+    named = written(rare.where("n > 1").select("id", "shingle").join(known.hint("merge"), "id"), "members")
+    crossed = crossing(banded, "key", possible).unionByName(crossing(named, "shingle", F.lit(True))).distinct()
     tested = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    last = verified(crossing.join(tested.hint("merge"), ["u", "v"], "left_anti"), nodes, sets, rule)
+    last = verified(crossed.join(tested.hint("merge"), ["u", "v"], "left_anti"), nodes, sets, rule)
     return connected_components(links.unionByName(last))
 
 
