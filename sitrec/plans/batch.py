@@ -13,13 +13,14 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitrec.models.fm import REGRESSION, FMModel, score_contextual
 from sitrec.operators.encoding import ENCODED
 from sitrec.operators.joins import task_share
-from sitrec.operators.ordering import top_k_per
+from sitrec.operators.ordering import numbered, top_k_per
 from sitrec.plans.recommend import Factors, item_vectors
 from sitrec.sources.ratings import CONTEXTS, ITEM, USER
 from sitrec.storage import written
@@ -125,36 +126,81 @@ def recommend_batch(
 DIGITS = 12  # scores are rounded so far that equal ones tie, whatever order the sums were made in
 
 
-def _filtered_scorer(k: int, minimum: float) -> Callable:
-    """Task function: best candidates of a block for every request of a chunk, without those it must not list."""
+def _numbers(lists: pa.ListArray, width: int) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _filtered_scorer(k: int, minimum: float, width: int) -> Callable:
+    """Task function: best candidates of a block for every request of a chunk, without those it must not list.
+
+    Candidates come in order of name; what a request must not list are places within the block.
+    """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 asked, offered = batch.column("_asked")[row].values, batch.column("_offered")[row].values
-                items = offered.field(ITEM)
-                place = {name: i for i, name in enumerate(items.to_pylist())}
-                factors = np.array(offered.field("features").to_pylist())
-                ids, skips = asked.field("request_id"), asked.field("skip").to_pylist()
-                vectors = np.array(asked.field("features").to_pylist())
+                at_place = offered.field("place").to_numpy()
+                number = np.full(int(at_place.max()) + 2, -1)  # of the candidate at a place; the last one is none
+                number[at_place] = np.arange(len(at_place))
+                factors, vectors = (_numbers(side.field("features"), width) for side in (offered, asked))
+                skips = asked.field("skip")
+                ends = np.concatenate([[0], np.cumsum(pc.list_value_length(skips).to_numpy(zero_copy_only=False))])
+                skipped = number[np.minimum(skips.flatten().to_numpy(zero_copy_only=False), len(number) - 1)]
                 who, what, ratings = [], [], []
                 for at in range(0, len(vectors), STRIP):
-                    strip = np.round(vectors[at : at + STRIP] @ factors.T, DIGITS)
-                    for j, scores in enumerate(strip):
-                        scores[[place[s] for s in skips[at + j] if s in place]] = -np.inf
-                        best = best_of(scores, k)
-                        best = best[scores[best] > minimum]
+                    scores = np.round(vectors[at : at + STRIP] @ factors.T, DIGITS)
+                    to = min(at + STRIP, len(vectors))
+                    gone = skipped[ends[at] : ends[to]]
+                    line = np.repeat(np.arange(to - at), np.diff(ends[at : to + 1]))
+                    scores[line[gone >= 0], gone[gone >= 0]] = -np.inf
+                    for j, own in enumerate(scores):
+                        best = best_of(own, k)
+                        best = best[own[best] > minimum]
                         who.append(np.full(len(best), at + j))
                         what.append(best)
-                        ratings.append(scores[best])
+                        ratings.append(own[best])
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(np.concatenate(who))), items.take(pa.array(np.concatenate(what))), pa.array(np.concatenate(ratings))],
+                    [
+                        asked.field("request_id").take(pa.array(np.concatenate(who))),
+                        offered.field(ITEM).take(pa.array(np.concatenate(what))),
+                        pa.array(np.concatenate(ratings)),
+                    ],
                     names=["request_id", ITEM, "rating"],
                 )
 
     return score
 
 
+def placed_items(factors: Factors, block: int) -> tuple[DataFrame, list[float]]:
+    """``itemid, features, _block, place`` of items with factors, the longest vectors first, and the greatest length in each block."""
+    known = factors.items.join(factors.item_factors, F.col("idx") == F.col("id"))
+    known = known.select(ITEM, F.col("features").cast("array<double>").alias("features"))
+    length = F.sqrt(F.aggregate("features", F.lit(0.0), lambda total, x: total + x * x))
+    known = known.withColumn("length", length)
+    placed = numbered(known, F.col("length").desc(), F.col(ITEM).asc(), name="_at")
+    cut = (F.col("_at").cast("long"), F.lit(block))
+    placed = placed.withColumn("_block", F.floor(cut[0] / cut[1]).cast("int")).withColumn("place", F.pmod(*cut).cast("int"))
+    placed = written(placed.drop("_at"), "items")
+    greatest = placed.groupBy("_block").agg(F.max("length").alias("most")).orderBy("_block").collect()
+    return placed.drop("length"), [r.most for r in greatest]
+
+
+def visits(requests: DataFrame, reach: Sequence[float], first: int, minimum: float) -> DataFrame:
+    """``requests`` once for every block from ``first`` on that can still add to their lists, as ``_block``.
+
+    An inner product is at most the product of both lengths, so a block whose longest vector cannot bring a request
+    above ``minimum``, or up to its k-th score ``least`` so far (null: fewer than k), is left out.
+    """
+    most = F.array(*(F.lit(float(m)) for m in reach))
+    slack = 10.0 ** (2 - DIGITS)
+    blocks = F.filter(
+        F.sequence(F.lit(first), F.lit(len(reach) - 1)),
+        lambda b: F.col("length") * F.element_at(most, b + 1) + slack >= F.coalesce(F.col("least"), F.lit(float(minimum))),
+    )
+    return requests.withColumn("_block", F.explode(blocks))
+
+
 def recommend_filtered(
     requests: DataFrame,
     ratings: DataFrame,
@@ -173,38 +219,53 @@ def recommend_filtered(
     ``factors`` have them) that the user has not rated.  ``requests`` has ``request_id`` (unique, bigint), the
     user and, but for ``split``, the context columns.  Users without factors get nothing.
 
-    Candidates of a context are cut into blocks, requests into chunks; a task scores one chunk against one
-    block, with the block's part of each user's ratings to leave out.  Pairs do not become rows.
+    Items stand in blocks, the longest vectors first, requests in chunks; a task scores one chunk against one
+    block, with the places in the block that each request must not list.  Blocks are copied so that chunks of one block
+    fill several tasks.  All requests meet the first block; the others only those that their length can
+    still bring into the list, which changes no list.  Pairs do not become rows.
     """
     if flow not in ("pre", "post", "split"):
         raise ValueError("flow must be 'pre', 'post' or 'split'")
     keys = [] if flow == "split" else list(contexts)
     asked = requests.select("request_id", USER, *keys)
-    known = factors.items.join(factors.item_factors, F.col("idx") == F.col("id")).select(ITEM, "features")
-    blocks = max(1, math.ceil(known.count() / block))
-    chunks = max(1, math.ceil(asked.count() / chunk))
-    cut = F.pmod(F.xxhash64(ITEM), F.lit(blocks)).cast("int").alias("_block")
+    placed, reach = placed_items(factors, block)
+    users = factors.users.join(factors.user_factors, F.col("idx") == F.col("id"))
+    users = users.select(USER, F.col("features").cast("array<double>").alias("features"))
+    length = F.sqrt(F.aggregate("features", F.lit(0.0), lambda total, x: total + x * x)).alias("length")
+    rows = written(asked.join(users, USER).select("request_id", USER, *keys, "features", length), "requests")
+    chunks = max(1, math.ceil(rows.count() / chunk))
+    copies = min(chunks, max(1, math.ceil(4 * task_share(rows) / max(1, len(reach)))))
 
     facts = ratings.select(USER, ITEM, *keys)
-    offered = facts.groupBy(ITEM, *keys).agg(F.count(F.lit(1)).alias("_n")).join(known, ITEM)
+    seen = facts.groupBy(ITEM, *keys).agg(F.count(F.lit(1)).alias("_n")).join(placed, ITEM)
     if keys:
-        offered = offered.join(asked.select(*keys).distinct(), keys)
-    offered = offered.withColumn("_block", cut).groupBy("_block", *keys).agg(
-        F.sort_array(F.collect_list(F.struct(ITEM, F.col("features").cast("array<double>").alias("features")))).alias("_offered")
+        seen = seen.join(asked.select(*keys).distinct(), keys)
+    offered = seen.groupBy("_block", *keys).agg(
+        F.sort_array(F.collect_list(F.struct(ITEM, "place", "features"))).alias("_offered")
     )
+    offered = written(offered, "offered").withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     same = [USER, *keys] if flow == "pre" else [USER]
-    rated = facts.groupBy(*same, ITEM).agg(F.count(F.lit(1)).alias("_n")).drop("_n")
-    skips = asked.join(rated, same).groupBy("request_id", cut).agg(F.collect_list(ITEM).alias("skip"))
-
-    users = factors.users.join(factors.user_factors, F.col("idx") == F.col("id")).select(
-        USER, F.col("features").cast("array<double>").alias("features")
+    rated = facts.join(placed.select(ITEM, "_block", "place"), ITEM).groupBy(*same, "_block").agg(
+        F.collect_set("place").alias("skip")
     )
-    rows = asked.join(users, USER).withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    rows = rows.join(skips, ["request_id", "_block"], "left").withColumn("_chunk", F.pmod(F.xxhash64("request_id"), F.lit(chunks)))
-    none = F.array().cast("array<string>")
-    chunked = rows.groupBy("_chunk", "_block", *keys).agg(
-        F.collect_list(F.struct("request_id", "features", F.coalesce("skip", none).alias("skip"))).alias("_asked")
-    )
-    found = chunked.join(offered, ["_block", *keys]).select("_asked", "_offered")
-    found = found.mapInArrow(_filtered_scorer(k, minimum), f"request_id bigint, {ITEM} string, rating double")
-    return top_k_per(found, ["request_id"], k, F.col("rating").desc(), F.col(ITEM).asc())
+    rated = written(rated, "rated")
+
+    def scored(asking: DataFrame) -> DataFrame:
+        none = F.array().cast("array<int>")
+        numbered_rows = asking.join(rated, [*same, "_block"], "left").withColumn("_chunk", F.pmod(F.xxhash64("request_id"), F.lit(chunks)).cast("int"))
+        request = F.struct("request_id", "features", F.coalesce("skip", none).alias("skip"))
+        chunked = numbered_rows.groupBy("_chunk", "_block", *keys).agg(F.collect_list(request).alias("_asked"))
+        chunked = chunked.withColumn("_copy", F.pmod(F.col("_chunk"), F.lit(copies)))
+        met = chunked.join(offered, ["_block", "_copy", *keys]).select("_asked", "_offered")
+        return met.mapInArrow(_filtered_scorer(k, minimum, factors.rank), f"request_id bigint, {ITEM} string, rating double")
+
+    order = [F.col("rating").desc(), F.col(ITEM).asc()]
+    if not reach:
+        return top_k_per(scored(rows.withColumn("_block", F.lit(0))), ["request_id"], k, *order)
+    first = scored(rows.withColumn("_block", F.lit(0)))
+    if len(reach) > 1:
+        first = written(top_k_per(first, ["request_id"], k, *order).drop("rank"), "first")
+        least = first.groupBy("request_id").agg(F.min("rating").alias("least"), F.count("*").alias("n")).where(F.col("n") >= k)
+        rest = rows.join(least.select("request_id", "least"), "request_id", "left")
+        first = first.unionByName(scored(visits(rest, reach, 1, minimum)))
+    return top_k_per(first, ["request_id"], k, *order)
