@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitrec.llm.columns import held_out, quoted, text_or_empty, without
-from sitrec.llm.word_tokens import byte_slices, text_array
+from sitrec.llm.word_tokens import byte_slices, text_array, trimmed
 
 UNKNOWN = "und"
 LEVEL = 6
@@ -124,6 +124,7 @@ def identify(docs: DataFrame, model: Mapping[str, tuple[bytes, list[bytes]]], te
     at = [c.lower() for c in clean.columns].index(text.lower())
     names = schema.names
 
+    @trimmed
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = Classifier(shared.value)
         for batch in batches:

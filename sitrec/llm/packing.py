@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitrec.llm.columns import quoted, text_or_empty
-from sitrec.llm.word_tokens import WordEncoder, byte_slices, text_array, tokenizer_path
+from sitrec.llm.word_tokens import WordEncoder, byte_slices, text_array, tokenizer_path, trimmed
 from sitrec.storage import written
 
 SLICE = 2 << 20  # bytes of texts that are encoded at a time
@@ -26,6 +26,7 @@ def pieces(
     kind = docs.select(quoted(doc_id)).schema[0].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 
+    @trimmed
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(path)
         for batch in batches:

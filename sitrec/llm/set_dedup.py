@@ -15,7 +15,7 @@ from sitrec.llm.components import connected_components
 from sitrec.llm.exact_dedup import filter_bits
 from sitrec.llm.joins import frequent, maybe_among, spread, spread_join
 from sitrec.llm.set_sketch import SLICE, band_keys, bits, can_be, digests, most_differing, registers, shingle_sets
-from sitrec.llm.word_tokens import byte_slices, text_array
+from sitrec.llm.word_tokens import byte_slices, text_array, trimmed
 from sitrec.storage import written
 
 
@@ -61,6 +61,7 @@ def sketches(rows: DataFrame, rule: Rule) -> DataFrame:
     schema = schema.add("registers", "binary")
     names = schema.names
 
+    @trimmed
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, part in byte_slices(text_array(batch.column(4)), SLICE):
@@ -112,6 +113,7 @@ def _paired(pairs: DataFrame, facts: DataFrame, columns: list[str]) -> DataFrame
 def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The ``pairs`` ``u, v`` that are linked: joint likelihood of their registers first, then their whole sets."""
 
+    @trimmed
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
@@ -123,6 +125,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, rule: Rule) ->
                 ]
                 yield some.select(["u", "v"]).filter(pa.array(can_be(*regs, *sizes, rule.percent / 100)))
 
+    @trimmed
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = [
@@ -144,6 +147,7 @@ def _sets(rows: DataFrame, wanted: DataFrame, rule: Rule, total: int) -> DataFra
     asked = maybe_among(asked, F.col("t0"), wanted.select("t0"), filter_bits(total)).where("_maybe")
     asked = asked.dropDuplicates(["t0", "t1"]).join(wanted.hint("merge"), ["t0", "t1"]).select("id", "text")
 
+    @trimmed
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, part in byte_slices(text_array(batch.column(1)), SLICE):

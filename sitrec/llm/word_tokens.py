@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+import gc
 import os
 import re
 from array import array
@@ -38,6 +42,20 @@ def tokenizer_path(name: str = WORDS_FILE) -> str:
     return public_tokenizers.path(name)
 
 
+def trimmed(task):
+    """A task function that gives back memory at its end: Python workers stay, and so would what they held."""
+
+    @functools.wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def byte_slices(texts: pa.Array, most: int = 8 << 20) -> Iterator[tuple[int, pa.Array]]:
     """Consecutive parts of about ``most`` bytes, with the row each begins at; a longer text is a part of its own."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
