@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,10 +16,10 @@ from sitrec.llm.exact_dedup import filter_bits
 from sitrec.llm.joins import frequent, maybe_among, spread, spread_join
 from sitrec.llm.set_sketch import SLICE, band_keys, bits, can_be, digests, most_differing, registers, shingle_sets
 from sitrec.llm.word_tokens import byte_slices, text_array, trimmed
-from sitrec.storage import written
+from sitrec.storage import new_path, remove, written
 
 
-RARE = 16  # nodes; shingles that so few have name the pairs that they make
+RARE = 64  # nodes; shingles that so few have name the pairs that they make
 
 
 class Rule:
@@ -46,6 +46,22 @@ class Rule:
         return 100 * common >= self.percent * (len(a) + len(b) - common)
 
 
+class Scratch:
+    """Tables that are needed until the classes are known."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.append(new_path(self.spark, name))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def drop(self) -> None:
+        for path in self.paths:
+            remove(self.spark, path)
+
+
 def text_keys(text: Column) -> list[Column]:
     """128 bits by which a text is found again."""
     return [F.xxhash64(text).alias("t0"), F.xxhash64(text, F.lit(1)).alias("t1")]
@@ -110,7 +126,7 @@ def _paired(pairs: DataFrame, facts: DataFrame, columns: list[str]) -> DataFrame
     return out
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
     """The ``pairs`` ``u, v`` that are linked: joint likelihood of their registers first, then their whole sets."""
 
     @trimmed
@@ -134,14 +150,14 @@ def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, rule: Rule) ->
             ]
             yield batch.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
 
-    pairs = written(pairs.select("u", "v"), "pairs")
+    pairs = scratch.written(pairs.select("u", "v"), "pairs")
     sketched = _paired(pairs, nodes, ["size", "registers"])
-    pairs = written(sketched.mapInArrow(likely, "u long, v long"), "likely")
+    pairs = scratch.written(sketched.mapInArrow(likely, "u long, v long"), "likely")
     both = _paired(pairs, sets, ["hashes"])
-    return written(both.mapInArrow(compare, "u long, v long"), "links")
+    return scratch.written(both.mapInArrow(compare, "u long, v long"), "links")
 
 
-def _sets(rows: DataFrame, wanted: DataFrame, rule: Rule, total: int) -> DataFrame:
+def _sets(rows: DataFrame, wanted: DataFrame, rule: Rule, total: int, scratch: Scratch) -> DataFrame:
     """``id, hashes`` of the ``wanted`` nodes (``id, t0, t1``); of texts only theirs move, copies once a task."""
     asked = rows.select("text", *text_keys(F.col("text")))
     asked = maybe_among(asked, F.col("t0"), wanted.select("t0"), filter_bits(total)).where("_maybe")
@@ -155,10 +171,10 @@ def _sets(rows: DataFrame, wanted: DataFrame, rule: Rule, total: int) -> DataFra
                 raw = [values[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(part)), pa.array(raw, pa.binary())], names=["id", "hashes"])
 
-    return written(asked.mapInArrow(to_sets, "id long, hashes binary"), "sets")
+    return scratch.written(asked.mapInArrow(to_sets, "id long, hashes binary"), "sets")
 
 
-def _rare_shingles(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _rare_shingles(members: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     """``id, shingle, n`` for the shingles of ``members`` (``id``) that ``RARE`` of them have or fewer."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,9 +187,9 @@ def _rare_shingles(members: DataFrame, sets: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([number, pa.array(some)], names=["id", "shingle"])
 
     held = sets.join(members.hint("merge"), "id", "left_semi").select("id", "hashes")
-    rows = written(held.mapInArrow(listed, "id long, shingle long"), "shingles")
+    rows = scratch.written(held.mapInArrow(listed, "id long, shingle long"), "shingles")
     rare = rows.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") <= RARE)
-    return written(spread_join(rows, written(rare, "rare"), ["shingle"]), "rare")
+    return scratch.written(spread_join(rows, scratch.written(rare, "rare"), ["shingle"]), "rare")
 
 
 def _labelled(nodes: DataFrame, classes: DataFrame) -> DataFrame:
@@ -182,7 +198,7 @@ def _labelled(nodes: DataFrame, classes: DataFrame) -> DataFrame:
     return named.select("id", F.coalesce("root", "id").alias("root"))
 
 
-def _classes(nodes: DataFrame, rows: DataFrame, rule: Rule, total: int) -> DataFrame:
+def _classes(nodes: DataFrame, rows: DataFrame, rule: Rule, total: int, scratch: Scratch) -> DataFrame:
     """``id, root`` of the nodes that are linked with others.
 
     Nodes that share a band meet as ``shared`` rows.  The centre of a band is the node that meets most others in all
@@ -193,44 +209,44 @@ def _classes(nodes: DataFrame, rows: DataFrame, rule: Rule, total: int) -> DataF
     which have to be enough.  Joins compare this, sizes and bits, so pairs that cannot be linked hardly become rows.
     """
     parts = [f"b{k}" for k in range(rule.words)]
-    entries = written(_entries(nodes, rule), "bands")
+    entries = scratch.written(_entries(nodes, rule), "bands")
     counts = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = written(spread_join(entries, written(counts, "repeated"), ["key"]), "shared")
+    shared = scratch.written(spread_join(entries, scratch.written(counts, "repeated"), ["key"]), "shared")
     popular = shared.groupBy("id").agg(F.sum("n").alias("popular"))
-    shared = written(shared.drop("n").join(popular.hint("merge"), "id"), "shared")
+    shared = scratch.written(shared.drop("n").join(popular.hint("merge"), "id"), "shared")
     centre = F.max_by(F.struct("id", "size", *parts), F.struct("popular", (-F.col("id")).alias("least"))).alias("m")
     centres = shared.groupBy("key").agg(centre).select("key", "m.*").toDF("key", "m", "msize", *(f"m{k}" for k in range(rule.words)))
-    star = spread_join(shared, written(centres, "centres"), ["key"])
+    star = spread_join(shared, scratch.written(centres, "centres"), ["key"])
     star = star.where("id <> m").where(rule.fits("size", "msize") & _alike(rule, "b", "m"))
-    star = written(star.groupBy(F.col("m").alias("u"), F.col("id").alias("v")).agg(F.count("*").alias("n")), "star")
+    star = scratch.written(star.groupBy(F.col("m").alias("u"), F.col("id").alias("v")).agg(F.count("*").alias("n")), "star")
 
     wanted = shared.select("id").distinct().join(nodes.select("id", "t0", "t1").hint("merge"), "id")
-    sets = _sets(rows, written(wanted, "wanted"), rule, total)
+    sets = _sets(rows, scratch.written(wanted, "wanted"), rule, total, scratch)
     best = star.groupBy("v").agg(F.max_by("u", F.struct(F.col("n"), (-F.col("u")).alias("least"))).alias("u")).select("u", "v")
-    links = verified(best, nodes, sets, rule)
-    first = written(connected_components(links), "classes")
+    links = verified(best, nodes, sets, rule, scratch)
+    first = scratch.written(connected_components(links), "classes")
 
     def apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         known = classes.select(F.col("node").alias("id"), "root")
         for side in ("u", "v"):
-            pairs = written(pairs, "apart")
+            pairs = scratch.written(pairs, "apart")
             named = known.select(F.col("id").alias(side), F.col("root").alias(f"r{side}"))
             pairs = spread_join(pairs, named, [side], "left")
         return pairs.where(F.coalesce("ru", "u") != F.coalesce("rv", "v")).select("u", "v")
 
-    again = verified(apart(star.select("u", "v"), first), nodes, sets, rule)
-    links = written(links.unionByName(again), "links")
-    second = written(connected_components(links), "classes")
+    again = verified(apart(star.select("u", "v"), first), nodes, sets, rule, scratch)
+    links = scratch.written(links.unionByName(again), "links")
+    second = scratch.written(connected_components(links), "classes")
 
     roots = _labelled(nodes, second)
     members = spread_join(shared.select("key", "id", "size", *parts), roots, ["id"])
-    members = written(members, "members")
+    members = scratch.written(members, "members")
     mixed = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
-    members = written(spread_join(members, mixed, ["key"]), "members")
-    rare = _rare_shingles(members.select("id").distinct(), sets)
-    few = written(rare.groupBy("id").agg(F.count("*").alias("few")), "few")
+    members = scratch.written(spread_join(members, mixed, ["key"]), "members")
+    rare = _rare_shingles(members.select("id").distinct(), sets, scratch)
+    few = scratch.written(rare.groupBy("id").agg(F.count("*").alias("few")), "few")
     known = members.drop("key").distinct().join(few.hint("merge"), "id", "left")
-    known = written(known.withColumn("other", F.col("size") - F.coalesce("few", F.lit(0))).drop("few"), "known")
+    known = scratch.written(known.withColumn("other", F.col("size") - F.coalesce("few", F.lit(0))).drop("few"), "known")
 
     def side(table: DataFrame, name: str, meeting: str) -> DataFrame:
         columns = [F.col(f"b{k}").alias(f"{name}{k}") for k in range(rule.words)]
@@ -245,11 +261,11 @@ def _classes(nodes: DataFrame, rows: DataFrame, rule: Rule, total: int) -> DataF
     common = F.least("other_u", "other_v")
     possible = common * 100 >= (F.col("size_u") + F.col("size_v") - common) * rule.percent
     able = known.where(F.col("other") * 100 >= F.col("size") * rule.percent).select("id", "other")
-    banded = written(members.join(able.hint("merge"), "id"), "members")
-    named = written(rare.where("n > 1").select("id", "shingle").join(known.hint("merge"), "id"), "members")
+    banded = scratch.written(members.join(able.hint("merge"), "id"), "members")
+    named = scratch.written(rare.where("n > 1").select("id", "shingle").join(known.hint("merge"), "id"), "members")
     crossed = crossing(banded, "key", possible).unionByName(crossing(named, "shingle", F.lit(True))).distinct()
     tested = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    last = verified(crossed.join(tested.hint("merge"), ["u", "v"], "left_anti"), nodes, sets, rule)
+    last = verified(crossed.join(tested.hint("merge"), ["u", "v"], "left_anti"), nodes, sets, rule, scratch)
     return connected_components(links.unionByName(last))
 
 
@@ -265,7 +281,9 @@ def set_classes(rows: DataFrame, rule: Rule) -> DataFrame:
     one = F.min(F.struct("t0", "t1")).alias("t")
     nodes = sets.agg(one, *firsts).select(F.monotonically_increasing_id().alias("id"), "t.t0", "t.t1", "*").drop("t")
     nodes = written(nodes, "nodes")
-    classes = written(_labelled(nodes, _classes(nodes, rows, rule, marks.count())), "roots")
+    scratch = Scratch(rows.sparkSession)
+    classes = written(_labelled(nodes, _classes(nodes, rows, rule, marks.count(), scratch)), "roots")
+    scratch.drop()
     named = nodes.select("id", "d0", "d1", "size").join(classes.hint("merge"), "id").drop("id")
     held = marks.select("doc_id", "_row", "d0", "d1", "size")
     return spread_join(held, written(named, "named"), ["d0", "d1", "size"], "left").select("doc_id", "_row", "size", "root")
