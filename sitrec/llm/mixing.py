@@ -12,9 +12,10 @@ from sitrec.llm.columns import quoted, text_or_empty, without
 from sitrec.storage import written
 
 ADDED = ("copy", "n_copies", "shuffle_key")
-OWN = ("_source", "_cdf", "_parts", "_place")
+OWN = ("_source", "_cdf", "_parts", "_place", "_block")
 PART = 32.0  # a larger mean is split, as exp(-mean) would vanish; sums of Poisson numbers are Poisson numbers
 HEX = 13  # hex digits of a hash that make an exact double
+BLOCK = 1 << 14  # copies of a row that one task makes at a time
 
 
 def _number(*parts: Column) -> Column:
@@ -87,7 +88,8 @@ def mix_sources(
     table = per_source.select(
         "_source", parts.alias("_parts"), _cumulative(F.col("rate") / parts).alias("_cdf"), "rows"
     )
-    least = per_source.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0] / 1024
+    facts = per_source.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.max(parts).alias("parts")).first()
+    least = facts["rows"] / 1024
     large, small = table.where(F.col("rows") >= least).drop("rows"), table.where(F.col("rows") < least).drop("rows")
     same = quoted(source).eqNullSafe(F.col("_source"))
     rated = clean.join(F.broadcast(large), same, "inner")
@@ -102,8 +104,22 @@ def mix_sources(
         return F.size(F.filter("_cdf", lambda c: c <= u))
 
     count = F.aggregate(F.sequence(F.lit(0), F.col("_parts") - 1), F.lit(0), lambda n, part: n + drawn(part))
-    counted = rated.select(*columns, count.alias("n_copies")).where("n_copies > 0")
-    copies = counted.select(
-        *columns, F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)).alias("copy"), "n_copies"
-    ).withColumn("shuffle_key", _number(F.lit(seed), F.lit("order"), key, F.col("copy")))
-    return copies.orderBy("shuffle_key", "copy")
+    counted = rated.select(*columns, count.alias("n_copies"), "_parts").where("n_copies > 0")
+
+    def copies(rows: DataFrame, first: Column, last: Column) -> DataFrame:
+        return rows.select(*columns, F.explode(F.sequence(first, last)).alias("copy"), "n_copies")
+
+    many = int(BLOCK / PART)
+    last = F.col("n_copies") - 1
+    if (facts["parts"] or 0) <= many:
+        out = copies(counted, F.lit(0), last)
+    else:
+        blocks = counted.where(F.col("_parts") > many).withColumn("_block", F.explode(F.sequence(F.lit(0), last, F.lit(BLOCK))))
+        # a fixed number of partitions, as blocks are few bytes before they are copied and would be put together again
+        tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.sparkSession.sparkContext.defaultParallelism)
+        blocks = blocks.repartition(tasks, key, "_block")
+        out = copies(counted.where(F.col("_parts") <= many), F.lit(0), last).unionByName(
+            copies(blocks, F.col("_block"), F.least(last, F.col("_block") + (BLOCK - 1)))
+        )
+    out = out.withColumn("shuffle_key", _number(F.lit(seed), F.lit("order"), key, F.col("copy")))
+    return out.orderBy("shuffle_key", "copy")

@@ -69,3 +69,26 @@ def test_small_sources_are_joined(spark):
     docs = spark.createDataFrame(data, "doc_id long, text string, source string")
     got = mix_sources(docs, {"big": 1.0, "small": 0.01, "other": 0.01})
     assert {"small", "other"} <= {r.source for r in got.select("source").distinct().collect()}
+
+
+def test_tiny_source_is_spread_in_blocks(spark):
+    data = [(1, "x" * 1500, "large"), (2, "y" * 1500, "large"), (3, "ab", "tiny"), (3, "cd", "tiny"), (4, None, "tiny")]
+    data = [(i, t if i == 3 or t is None else t * 100, s) for i, t, s in data]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = mix_sources(docs)
+    rate = (2 * 150_000 + 4) / 2 / 4
+    assert rate > 32_000  # several blocks a row
+    n = drawn(3, rate)
+    tiny = got.where("source = 'tiny'").groupBy("doc_id", "text").agg(
+        F.count("*").alias("rows"), F.countDistinct("copy").alias("copies"), F.min("copy").alias("a"), F.max("copy").alias("b"), F.max("n_copies").alias("n")
+    )
+    found = {(r.doc_id, r.text): tuple(r)[2:] for r in tiny.collect()}
+    assert found == {
+        (3, "ab"): (n, n, 0, n - 1, n),
+        (3, "cd"): (n, n, 0, n - 1, n),
+        (4, None): (drawn(4, rate),) * 2 + (0, drawn(4, rate) - 1, drawn(4, rate)),
+    }
+    large = {d: drawn(d, (2 * 150_000 + 4) / 2 / 300_000) for d in (1, 2)}
+    assert {r.doc_id: r["count"] for r in got.where("source = 'large'").groupBy("doc_id").count().collect()} == {
+        d: k for d, k in large.items() if k
+    }
