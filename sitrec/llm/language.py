@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Mapping
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -37,14 +38,15 @@ def learn(
 ) -> dict[str, tuple[bytes, list[bytes]]]:
     """Dictionary and contexts of each language, from a bounded sample of labelled rows.
 
-    Per language the ``samples + contexts`` rows with the smallest hash of their id give up to
-    ``sample_chars`` characters each, for the ``most_languages`` languages with most rows; held-out
-    rows and rows without label, or without text, are left out.  That is at most 75 MB at the defaults'
-    bounds, 300 KB a language.  Only ids and hashes are ranked, each task passing on its best alone;
-    texts are fetched for the chosen ids.
+    Per language the ``samples + contexts`` ids with the smallest hash give up to ``sample_chars``
+    characters each, for the ``most_languages`` languages with most rows; held-out rows and rows without
+    id, label or text are left out.  An id counts once, however many rows repeat it, with the smallest
+    text.  That is at most 75 MB at the defaults' bounds, 300 KB a language.  Only ids and hashes are
+    ranked, each task passing on its best alone; texts are fetched for the chosen ids and one of each
+    comes to the driver.
     """
     named = docs.where(
-        quoted(lang).isNotNull() & ~held_out(quoted(doc_id)) & (F.length(F.trim(text_or_empty(text))) > 0)
+        quoted(lang).isNotNull() & quoted(doc_id).isNotNull() & ~held_out(quoted(doc_id)) & (F.length(F.trim(text_or_empty(text))) > 0)
     )
     rows = named.select(
         quoted(lang).cast("string").alias("lang"), quoted(doc_id).alias("id"), F.xxhash64(quoted(doc_id).cast("string"), F.lit(7)).alias("h")
@@ -52,18 +54,27 @@ def learn(
     top = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()]
     if not top:
         return {}
+    wanted = samples + contexts
+
+    def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for frame in frames:
+            both = frame if held is None else pd.concat([held, frame])
+            held = both.drop_duplicates().sort_values(["lang", "h", "id"]).groupby("lang", sort=False).head(wanted)
+        if held is not None:
+            yield held
+
     place = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = rows.where(F.col("lang").isin(top)).withColumn("place", F.row_number().over(place))
-    chosen = chosen.where(F.col("place") <= samples + contexts)
+    bests = rows.where(F.col("lang").isin(top)).mapInPandas(best, rows.schema).distinct()
+    chosen = bests.withColumn("place", F.row_number().over(place)).where(F.col("place") <= wanted)
     texts = named.select(
         quoted(lang).cast("string").alias("lang"), quoted(doc_id).alias("id"), F.substring(text_or_empty(text), 1, sample_chars).alias("text")
     )
-    # at most most_languages * (samples + contexts) ids; rows that repeat an id are thinned to one by the dictionary below
-    found = texts.join(F.broadcast(chosen), ["lang", "id"]).select("lang", "place", "text")
+    # at most most_languages * wanted ids; each task passes on one text of each
+    found = texts.join(F.broadcast(chosen), ["lang", "id"]).groupBy("lang", "place").agg(F.min("text").alias("text"))
     by_lang: dict[str, dict[int, str]] = {}
     for r in found.collect():
-        slot = by_lang.setdefault(r.lang, {})
-        slot[r.place] = min(slot.get(r.place, r.text), r.text)
+        by_lang.setdefault(r.lang, {})[r.place] = r.text
     out = {}
     for name, slots in sorted(by_lang.items()):
         parts = [slots[k].lower().encode() for k in sorted(slots)]
