@@ -145,14 +145,16 @@ def learn(
     """Fit on at most ``sample`` labelled documents, those with the smallest hashes of their ids.
 
     Held-out rows (crc32 of the id, as text, leaves 2 modulo 4), rows with a null id or label, and ids without
-    document are left out; a document with several labels stands for each.  Their features, some hundreds of
-    numbers a document, are gathered on the driver.  Without rows of both labels the model gives the share of 1.
+    document are left out; a document with several different labels stands for each.  An id that repeats counts
+    once a label, with the text of the smallest hash.  Their features, some hundreds of numbers a document, are
+    gathered on the driver.  Without rows of both labels the model gives the share of 1.
     """
     known = labels.where(quoted(label).isNotNull() & quoted(doc_id).isNotNull() & ~held_out(quoted(doc_id)))
     known = known.select(quoted(doc_id).alias("id"), quoted(label).cast("double").alias("y"))
-    chosen = known.orderBy(F.xxhash64(F.col("id").cast("string"), F.lit(9)), "id", "y").limit(sample)
+    chosen = known.distinct().orderBy(F.xxhash64(F.col("id").cast("string"), F.lit(9)), "id", "y").limit(sample)
     texts = docs.select(quoted(doc_id).alias("id"), text_or_empty(text).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "id").select("id", "y", "text")  # at most ``sample`` ids
+    held = texts.join(F.broadcast(chosen), "id")  # at most ``sample`` ids, each task passing on one text of each
+    rows = held.groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,7 +167,7 @@ def learn(
 
     kind = rows.schema["id"].dataType.simpleString()
     found = rows.mapInArrow(features, f"id {kind}, y double, feature array<int>, value array<float>").toArrow()
-    found = found.sort_by([("id", "ascending"), ("y", "ascending")]).slice(0, sample).combine_chunks()
+    found = found.sort_by([("id", "ascending"), ("y", "ascending")]).combine_chunks()
     y = found["y"].to_numpy()
     if not len(y) or y.min() == y.max():
         share = np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99)

@@ -116,3 +116,24 @@ def test_fit_learns_a_pair():
     model = fit(offsets, np.array(rows_).ravel(), np.ones(800, np.float32), np.array(labels), passes=300)
     margins = model.margins(offsets, np.array(rows_).ravel(), np.ones(800, np.float32))
     assert np.mean((margins > 0) == (np.array(labels) > 0)) > 0.95
+
+
+def test_repeated_ids_count_once(spark, tables):
+    """An id that fills the table takes one place of the sample, with one text."""
+    free = [i for i in range(400) if not held(i)][:12]
+    data = [(i, f"row {i} has words of its own {i * i} " * 40, "xx") for i in free]
+    again = [(free[0], data[0][1] + f" again {k}", "xx") for k in range(300)]
+    schema = "doc_id long, text string, lang string"
+    alone = learn(spark.createDataFrame(data, schema), samples=4, contexts=2)
+    copies = spark.createDataFrame(data + again + data + [(None, "no id " * 50, "xx")], schema).repartition(7)
+    assert learn(copies, samples=4, contexts=2) == alone
+
+    docs, labels = tables
+    some = docs.where("doc_id % 3 = 0").select("doc_id", "text")
+    model = learn_quality(some, labels, sample=60)
+    one = labels.join(some, "doc_id").orderBy("doc_id").select(labels.columns).limit(1)
+    copies = some.unionByName(some.join(one.select("doc_id"), "doc_id"))
+    for _ in range(3):
+        copies = copies.unionByName(copies)
+    same = learn_quality(copies, labels.unionByName(one).unionByName(one), sample=60)
+    assert model.w0 == same.w0 and np.array_equal(model.w, same.w) and np.array_equal(model.v, same.v)
