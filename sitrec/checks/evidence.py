@@ -368,13 +368,36 @@ def staged_facts(spark, sf_dir):
     stages.design(spark, path, STAGED_GRID)
     stages.train(spark, path)
     found = stages.predict(spark, path, USER_ID, CONTEXT)
-    items = load_table(spark, f"{path}/dictionary").filter("name = 'itemid'").select(F.col("val").alias("itemid"))
+    items = stages.run_table(spark, path, "dictionary").filter("name = 'itemid'").select(F.col("val").alias("itemid"))
     strange = found.join(items, "itemid", "left_anti").count()
-    counts = [load_table(spark, f"{path}/{t}").count() for t in ("features", "dictionary", "search")]
-    row_ = (*counts, spark.read.json(f"{path}/params").count(), strange == 0)
+    counts = [stages.run_table(spark, path, t).count() for t in ("features", "dictionary", "search")]
+    row_ = (*counts, spark.read.json(stages.place(spark, path, "params")).count(), strange == 0)
     return spark.createDataFrame([row_], "features bigint, dictionary bigint, searched int, params int, known boolean")
 
 
+@query(
+    "staged_versions",
+    """select (select count(*) from dic) as served, (select count(*) from rat where row_id % 2 = 0) as prepared,
+    3 as finished, true as same_list, true as same_model from dic limit 1""",
+    "rat dic",
+)
+def staged_versions(spark, sf_dir):
+    """Rows prepared after the training do not touch what is served; the same training again gives the same model."""
+    path = new_path(spark, "run")
+    few = FMSettings(iterations=5)
+    df = ratings(spark, sf_dir)
+    stages.prepare(df, path)
+    model = stages.train(spark, path, few)
+    again = stages.train(spark, path, few).intercept == model.intercept
+    before = written(stages.predict(spark, path, USER_ID, CONTEXT), "before")
+    served = load_table(spark, stages.newest(spark, path, "train")["tables"]["dictionary"])
+    stages.prepare(df.filter("row_id % 2 = 0"), path)
+    after = stages.predict(spark, path, USER_ID, CONTEXT)
+    same = before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
+    row_ = (served.count(), stages.run_table(spark, path, "features").count(), stages.commits(spark, path).count(), same, again)
+    return spark.createDataFrame([row_], "served bigint, prepared bigint, finished int, same_list boolean, same_model boolean")
+
+
 @query(
     "personal_recommend",
     """select 5 as listed, true as fresh, true as falling""",

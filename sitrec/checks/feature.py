@@ -183,6 +183,19 @@ def spearman(spark, sf_dir):
     return df.agg(rounded(F.corr("value_rank", "rating_rank")).alias("r"))
 
 
+@query(
+    "spearman_matrix",
+    """, k as (select vec_id, dim, rank() over (partition by dim order by x)
+      + (count(*) over (partition by dim, x) - 1) / 2.0 as r from emb)
+    select a.dim::int as i, b.dim::int as j, round(corr(a.r, b.r), 6) + 0.0 as correlation
+    from k a join k b using (vec_id) where a.dim <= b.dim group by a.dim, b.dim""",
+    "emb",
+)
+def spearman_matrix(spark, sf_dir):
+    df = vectors.spearman_matrix(_embeddings(spark, sf_dir), "vec_id", "embedding")
+    return df.withColumn("correlation", rounded(F.col("correlation")))
+
+
 # ---- text --------------------------------------------------------------------------------------
 
 

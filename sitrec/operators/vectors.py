@@ -12,6 +12,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sitrec.operators.joins import lookup_join
 from sitrec.operators.ordering import totals_before
 from sitrec.storage import written
 
@@ -123,3 +124,34 @@ def average_ranks(df: DataFrame, column: str, output: str) -> DataFrame:
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     before = totals_before(counts, [F.col(column).asc()], {"_before": F.col("_n")})
     return before.select(column, (F.col("_before") + (F.col("_n") + 1) / 2).alias(output), F.col("_n").alias("n"))
+
+
+def spearman_matrix(df: DataFrame, key: str, array: str) -> DataFrame:
+    """``i, j, correlation`` (i <= j): rank correlations of the slots of arrays of one length.
+
+    All slots are ranked at once, as ranges of (slot, value): every slot has as many values as there are rows, so the
+    ranks of a slot begin where those of the slots before it end.  Ties share their mean rank and are counted, not
+    listed.  The ranks of a row, found by its ``key``, become an array again, of which ``covariance`` is taken.  A
+    slot of one value has no correlation: NULL.  NULL, ragged arrays and repeated keys are errors.
+    """
+    slots = F.transform(F.col(array).cast("array<double>"), lambda x, i: F.struct(i.alias("dim"), x.alias("x")))
+    long = df.select(key, F.explode(slots).alias("slot"))
+    size = F.coalesce(F.size(array), F.lit(-1))
+    missing = F.col(array).isNull() | F.coalesce(F.exists(array, lambda x: x.isNull()), F.lit(True))
+    rows, least, most, bad = df.agg(
+        F.count(F.lit(1)), F.min(size), F.max(size), F.coalesce(F.sum(missing.cast("int")), F.lit(0))
+    ).first()
+    if bad or least != most:
+        raise ValueError("the arrays must have one length and no NULL")
+    if df.select(key).distinct().count() != rows:
+        raise ValueError("the keys must be distinct and not NULL")
+    counts = long.groupBy("slot").agg(F.count(F.lit(1)).alias("n"))
+    before = totals_before(counts, [F.col("slot").asc()], {"before": F.col("n")})
+    rank = (F.col("before") - F.col("slot.dim") * F.lit(rows) + (F.col("n") + 1) / 2).alias("rank")
+    ranked = lookup_join(long, before.select("slot", rank), "slot", F.col(key), "inner")
+    of_row = F.transform(F.array_sort(F.array_agg(F.struct("slot.dim", "rank"))), lambda x: x["rank"])
+    found = written(covariance(ranked.groupBy(key).agg(of_row.alias("ranks")), "ranks"), "covariance")
+    own = found.where("i = j")
+    spread = [own.select(F.col(c), F.col("covariance").alias(f"v{c}")) for c in ("i", "j")]  # a row per slot
+    both = found.join(F.broadcast(spread[0]), "i").join(F.broadcast(spread[1]), "j")
+    return both.select("i", "j", F.try_divide("covariance", F.sqrt(F.col("vi")) * F.sqrt(F.col("vj"))).alias("correlation"))

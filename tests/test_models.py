@@ -500,13 +500,45 @@ def test_staged_run(spark):
     results = stages.design(spark, path, grid)
     assert results.count() == 4
     model = stages.train(spark, path)
-    rows = spark.read.parquet(f"{path}/features")
+    rows = stages.run_table(spark, path, "features")
     assert search.fm_rmse(model, rows) < rows.agg(F.stddev_pop("label")).first()[0]
     # u2 likes even items
     best = stages.predict(spark, path, "u2", REQUEST).limit(4).collect()
     assert best and all(int(r.itemid[1:]) % 2 == 0 for r in best)
 
 
+def test_failed_train_leaves_the_former_model_served(spark, monkeypatch):
+    path = new_path(spark, "run")
+    with pytest.raises(ValueError, match="prepare has not finished"):
+        stages.train(spark, path, FMSettings(iterations=2))
+    stages.prepare(rated(spark), path)
+    with pytest.raises(ValueError, match="train has not finished"):
+        stages.predict(spark, path, "u2", REQUEST)
+    stages.train(spark, path, FMSettings(iterations=5))
+    before = stages.predict(spark, path, "u2", REQUEST).collect()
+    lines = stages.commits(spark, path).count()
+
+    def lost(*args):
+        raise RuntimeError("executor lost")
+
+    stages.prepare(rated(spark).filter("userid <> 'u2'"), path)
+    with monkeypatch.context() as patched:
+        patched.setattr(stages, "fm_train_lbfgs", lost)
+        with pytest.raises(RuntimeError):
+            stages.train(spark, path, FMSettings(iterations=5))
+        patched.setattr(FMModel, "save", lost)
+        with pytest.raises(RuntimeError):
+            stages.train(spark, path, FMSettings(iterations=5))
+    assert stages.predict(spark, path, "u2", REQUEST).collect() == before
+    assert stages.commits(spark, path).count() == lines + 1  # of the second preparation
+
+    # the same step again trains the rows prepared last, and a third call finds its model
+    model = stages.train(spark, path, FMSettings(iterations=5))
+    assert stages.train(spark, path, FMSettings(iterations=5)).intercept == model.intercept
+    assert stages.commits(spark, path).count() == lines + 2
+    assert stages.train(spark, path, FMSettings(iterations=6)) and stages.commits(spark, path).count() == lines + 3
+
+
 def test_index_of_factors_follows_frequency(spark):
     df = rated(spark)
     users = index_table(df, "userid")

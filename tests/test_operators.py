@@ -436,3 +436,21 @@ def test_joined_rmse_keeps_small_errors(spark):
     got = evaluate.rmse_joined(exact, truth).first()
     spread = np.sqrt(np.mean([(r - np.mean([x[2] for x in rows if x[0] == u]) - 1e-4) ** 2 for u, _, r in rows]))
     assert got.rmse == pytest.approx(spread, rel=1e-9) and got.matched == 50
+
+
+def test_spearman_matrix(spark):
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    data = rng.integers(0, 4, (60, 3)).astype(float)  # many ties
+    data = np.column_stack([data, data[:, 0] * -2.0, np.ones(60)])
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(data)], "id long, v array<double>").repartition(5)
+    want = pd.DataFrame(data).corr("spearman").to_numpy()
+    got = {(r.i, r.j): r.correlation for r in vectors.spearman_matrix(df, "id", "v").collect()}
+    assert set(got) == {(i, j) for i in range(5) for j in range(i, 5)}
+    for (i, j), r in got.items():
+        assert r is None if 4 in (i, j) else abs(r - want[i, j]) < 1e-12
+    assert vectors.spearman_matrix(df.limit(0), "id", "v").collect() == []
+    for bad in ([(1, [1.0, None]), (2, [1.0, 2.0])], [(1, [1.0]), (2, [1.0, 2.0])], [(1, None), (2, [1.0])], [(1, [1.0]), (1, [2.0])]):
+        with pytest.raises(ValueError):
+            vectors.spearman_matrix(spark.createDataFrame(bad, "id long, v array<double>"), "id", "v")
