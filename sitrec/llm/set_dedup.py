@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,10 @@ class Rule:
         """Whether sets of these sizes can be similar enough."""
         return F.least(a, b) * 100 >= F.greatest(a, b) * self.percent
 
+    def prefix(self, size: str) -> Column:
+        """So many members of a set of this size, the first in an order of all members, hold one of every linked set."""
+        return F.floor(F.col(size) * (100 - self.percent) / 100) + 1
+
     def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
         common = len(np.intersect1d(a, b, assume_unique=True))
         return 100 * common >= self.percent * (len(a) + len(b) - common)
@@ -206,7 +210,9 @@ def _classes(nodes: DataFrame, rows: DataFrame, rule: Rule, total: int, scratch:
     with those that are still of another class.  What remains are
     bands with several classes; only there nodes are joined with each other, across classes.  Two such nodes either
     have a rare shingle in common, of which no node makes more than ``RARE`` pairs, or nothing but other shingles,
-    which have to be enough.  Joins compare this, sizes and bits, so pairs that cannot be linked hardly become rows.
+    which have to be enough.  In order of rarity the first common shingle of linked nodes is among the first of both
+    (``Rule.prefix``), so of the rare ones only these are joined.  Joins compare this, sizes and bits, so pairs that
+    cannot be linked hardly become rows.
     """
     parts = [f"b{k}" for k in range(rule.words)]
     entries = scratch.written(_entries(nodes, rule), "bands")
@@ -262,7 +268,9 @@ def _classes(nodes: DataFrame, rows: DataFrame, rule: Rule, total: int, scratch:
     possible = common * 100 >= (F.col("size_u") + F.col("size_v") - common) * rule.percent
     able = known.where(F.col("other") * 100 >= F.col("size") * rule.percent).select("id", "other")
     banded = scratch.written(members.join(able.hint("merge"), "id"), "members")
-    named = scratch.written(rare.where("n > 1").select("id", "shingle").join(known.hint("merge"), "id"), "members")
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("n", "shingle"))
+    named = rare.join(known.hint("merge"), "id").withColumn("rank", rank).where(F.col("rank") <= rule.prefix("size"))
+    named = scratch.written(named.where("n > 1").drop("n", "rank"), "members")
     crossed = crossing(banded, "key", possible).unionByName(crossing(named, "shingle", F.lit(True))).distinct()
     tested = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     last = verified(crossed.join(tested.hint("merge"), ["u", "v"], "left_anti"), nodes, sets, rule, scratch)
