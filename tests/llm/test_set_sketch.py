@@ -159,3 +159,24 @@ def test_edited_family(spark):
     want = expected(list(enumerate(texts)))
     assert got(near_sets(frame(spark, texts))) == want
     assert 20 < sum(r[3] for r in want) < 140
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_prefix(spark, percent):
+    """Linked sets share one of the first members of both in order of rarity, and the first are as many as stated."""
+    rule = Rule(3, percent, 6, 42)
+    longest = 400
+    sizes = spark.range(1, longest + 1).select("id", rule.prefix("id").alias("n")).collect()
+    prefix = {r.id: r.n for r in sizes}
+    assert all(prefix[s] == s - -(-percent * s // 100) + 1 for s in range(1, longest + 1))
+    rng, met = random.Random(percent), 0
+    for _ in range(3000):
+        rarity = {k: (rng.randrange(4), k) for k in range(longest)}
+        a = set(rng.sample(range(longest), rng.randrange(1, 120)))
+        b = set(rng.sample(sorted(a), max(1, len(a) - rng.randrange(len(a) // 8 + 2))))
+        b |= set(rng.sample(range(longest), rng.randrange(len(a) // 8 + 2)))
+        if 100 * len(a & b) >= percent * len(a | b):
+            first = [set(sorted(x, key=rarity.get)[: prefix[len(x)]]) for x in (a, b)]
+            assert first[0] & first[1]
+            met += 1
+    assert met > 300
