@@ -124,6 +124,58 @@ def test_compact_and_table_gradients_agree(spark, task):
     assert table.gram(["x0", g])[0, 1] == pytest.approx(float(x @ grad))
 
 
+@pytest.mark.parametrize("task", ["regression", "classification"])
+def test_vectors_in_the_shared_folder(spark, task, monkeypatch):
+    """Vectors that do not go through the driver: the same model and errors; only the vectors in use stay."""
+    monkeypatch.setattr(fm_fit, "PIECE", 4)
+    rows = frame(spark, [*random_rows(60), (990, 0.4, [], []), (991, -0.2, [], [])]).repartition(3).persist()
+    points = [FMSettings(task=task, iterations=4, dim=(b, w, 2), reg=(0.1, 0.01, 0.01), init_std=0.1) for b, w in ((True, True), (False, False))]
+    plain, errors = fm_fit.fm_train_points(rows, N, points), fm_fit.fm_validate_points(rows, rows, N, points)
+    stepped = fm_fit.fm_train_sgd(rows, N, points[0])
+    monkeypatch.setattr(fm_fit, "DRIVER_BYTES", 0)
+
+    def unused(self, task):
+        raise AssertionError("vectors on the driver")
+
+    monkeypatch.setattr(fm_fit.CompactSpace, "start", unused)
+    assert fm_fit.fm_validate_points(rows, rows, N, points) == pytest.approx(errors)
+    shared = [*fm_fit.fm_train_points(rows, N, points), fm_fit.fm_train_sgd(rows, N, points[0])]
+    for a, b in zip([*plain, stepped], shared):
+        assert a.intercept == pytest.approx(b.intercept, abs=1e-9)
+        for x, y in zip(a.factors.orderBy("idx").collect(), b.factors.orderBy("idx").collect(), strict=True):
+            assert x == pytest.approx(y, abs=1e-9)
+
+
+def test_sums_come_back_once(spark, monkeypatch):
+    """However many tasks there are, one row of each piece reaches the driver."""
+    monkeypatch.setattr(fm_fit, "SUMS_LONG", 5)
+    space = fm_fit.CompactSpace(frame(spark, random_rows(60)).select("label", "idx", "val").repartition(12), N, K, -9.0, 9.0)
+    x, sizes, whole = np.full(N * (K + 1) + 1, 0.1), [], type(space.rows).toArrow
+
+    def counted(df):
+        found = whole(df)
+        sizes.append((found.num_rows, len(set(found["at"].to_pylist()))))
+        return found
+
+    monkeypatch.setattr(type(space.rows), "toArrow", counted)
+    space.evaluate([(x, FMSettings(dim=(True, True, K)))])
+    pieces = -(-(N * (K + 1) + 3) // 5)
+    assert sizes == [(pieces, pieces)]
+
+
+def test_sgd_forms_give_one_model(spark):
+    rows = frame(spark, [*random_rows(60), (990, 0.4, [], [])]).repartition(2).persist()
+    seen: list[list[float]] = [[], []]
+    settings = FMSettings(iterations=3, dim=(True, True, 2), reg=(0.1, 0.01, 0.02), init_std=0.1)
+    a, b = (
+        fm_fit.fm_train_sgd(rows, N, settings, step=0.5, report=lambda t, loss, j=j: seen[j].append(loss), compact_bytes=limit)
+        for j, limit in enumerate((1 << 30, 0))
+    )
+    assert seen[0] == pytest.approx(seen[1]) and a.intercept == pytest.approx(b.intercept)
+    for x, y in zip(a.factors.orderBy("idx").collect(), b.factors.orderBy("idx").collect(), strict=True):
+        assert x == pytest.approx(y, abs=1e-9)
+
+
 def test_switched_off_parts_stay_zero(spark):
     settings = FMSettings(iterations=3, dim=(False, False, 2), init_std=0.1)
     model = fm_fit.fm_train_lbfgs(frame(spark, random_rows()), N, settings)
