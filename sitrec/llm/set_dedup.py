@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from sitrec.llm.columns import quoted, text_or_empty
 from sitrec.llm.components import connected_components
 from sitrec.llm.exact_dedup import filter_bits
-from sitrec.llm.joins import frequent, maybe_among, spread, spread_join
+from sitrec.llm.joins import frequent, maybe_among, share, spread, spread_join
 from sitrec.llm.set_sketch import SLICE, band_keys, bits, can_be, digests, most_differing, registers, shingle_sets
 from sitrec.llm.word_tokens import byte_slices, text_array, trimmed
 from sitrec.storage import new_path, remove, written
@@ -54,16 +54,21 @@ class Scratch:
     """Tables that are needed until the classes are known."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, []
+        self.spark, self.tables = spark, []
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
-        self.paths.append(new_path(self.spark, name))
-        df.write.parquet(self.paths[-1])
-        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
-
-    def drop(self) -> None:
-        for path in self.paths:
+        path = new_path(self.spark, name)
+        df.write.parquet(path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self.tables.append((path, table))
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Remove these tables, all if none is named."""
+        gone = [(path, t) for path, t in self.tables if not tables or any(t is x for x in tables)]
+        for path, _ in gone:
             remove(self.spark, path)
+        self.tables = [x for x in self.tables if not any(x[1] is t for _, t in gone)]
 
 
 def text_keys(text: Column) -> list[Column]:
@@ -202,10 +207,12 @@ def _labelled(nodes: DataFrame, classes: DataFrame) -> DataFrame:
     return named.select("id", F.coalesce("root", "id").alias("root"))
 
 
-def _classes(nodes: DataFrame, rows: DataFrame, rule: Rule, total: int, scratch: Scratch) -> DataFrame:
+def _classes(
+    nodes: DataFrame, rows: DataFrame, rule: Rule, total: int, scratch: Scratch, proposed: DataFrame | None = None
+) -> DataFrame:
     """``id, root`` of the nodes that are linked with others.
 
-    Nodes that share a band meet as ``shared`` rows.  The centre of a band is the node that meets most others in all
+    The ``proposed`` pairs ``u, v`` of another method are verified first, with the first pairs of bands.  Nodes that share a band meet as ``shared`` rows.  The centre of a band is the node that meets most others in all
     its bands.  Every node is compared with the centres of its bands: with the one it shares most bands with, then
     with those that are still of another class.  What remains are
     bands with several classes; only there nodes are joined with each other, across classes.  Two such nodes either
@@ -216,19 +223,29 @@ def _classes(nodes: DataFrame, rows: DataFrame, rule: Rule, total: int, scratch:
     """
     parts = [f"b{k}" for k in range(rule.words)]
     entries = scratch.written(_entries(nodes, rule), "bands")
-    counts = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = scratch.written(spread_join(entries, scratch.written(counts, "repeated"), ["key"]), "shared")
-    popular = shared.groupBy("id").agg(F.sum("n").alias("popular"))
-    shared = scratch.written(shared.drop("n").join(popular.hint("merge"), "id"), "shared")
+    counts = scratch.written(entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
+    # bands that no other node has hardly move
+    moved = maybe_among(entries, F.col("key"), counts.select("key"), filter_bits(counts.count())).where("_maybe").drop("_maybe")
+    most = share(entries.count())
+    met = scratch.written(spread(moved, counts, (counts.where(F.col("n") > most).withColumnRenamed("n", "_n"), most), ["key"]), "shared")
+    scratch.drop(entries, counts)
+    popular = met.groupBy("id").agg(F.sum("n").alias("popular"))
+    shared = scratch.written(met.drop("n").join(popular.hint("merge"), "id"), "shared")
+    scratch.drop(met)
     centre = F.max_by(F.struct("id", "size", *parts), F.struct("popular", (-F.col("id")).alias("least"))).alias("m")
     centres = shared.groupBy("key").agg(centre).select("key", "m.*").toDF("key", "m", "msize", *(f"m{k}" for k in range(rule.words)))
     star = spread_join(shared, scratch.written(centres, "centres"), ["key"])
     star = star.where("id <> m").where(rule.fits("size", "msize") & _alike(rule, "b", "m"))
     star = scratch.written(star.groupBy(F.col("m").alias("u"), F.col("id").alias("v")).agg(F.count("*").alias("n")), "star")
 
-    wanted = shared.select("id").distinct().join(nodes.select("id", "t0", "t1").hint("merge"), "id")
+    asked = shared.select("id")
+    if proposed is not None:
+        asked = asked.unionByName(proposed.select(F.explode(F.array("u", "v")).alias("id")))
+    wanted = asked.distinct().join(nodes.select("id", "t0", "t1").hint("merge"), "id")
     sets = _sets(rows, scratch.written(wanted, "wanted"), rule, total, scratch)
     best = star.groupBy("v").agg(F.max_by("u", F.struct(F.col("n"), (-F.col("u")).alias("least"))).alias("u")).select("u", "v")
+    if proposed is not None:
+        best = best.unionByName(proposed.select("u", "v")).distinct()
     links = verified(best, nodes, sets, rule, scratch)
     first = scratch.written(connected_components(links), "classes")
 
@@ -277,9 +294,22 @@ def _classes(nodes: DataFrame, rows: DataFrame, rule: Rule, total: int, scratch:
     return connected_components(links.unionByName(last))
 
 
-def set_classes(rows: DataFrame, rule: Rule) -> DataFrame:
+def _proposed(marks: DataFrame, nodes: DataFrame, alike: DataFrame) -> DataFrame:
+    """``u, v``: each node that stands in a class of ``alike``, with the smallest node of that class."""
+    sets = ["d0", "d1", "size"]
+    of_row = marks.where("size > 0").select("_row", *sets).join(alike.hint("merge"), "_row").drop("_row").distinct()
+    members = of_row.join(nodes.select("id", *sets).hint("merge"), sets).select("alike", "id")
+    least = members.groupBy("alike").agg(F.min("id").alias("u"))
+    pairs = spread_join(members, least, ["alike"])
+    return pairs.where("u <> id").select("u", F.col("id").alias("v")).distinct()
+
+
+def set_classes(rows: DataFrame, rule: Rule, alike: DataFrame | None = None) -> DataFrame:
     """``doc_id, _row, size, root`` of every row of ``doc_id, _row, text``; ``root`` numbers the class of its set.
 
+    ``alike`` (``_row, alike``) are classes that another method proposes: their rows are candidates too, and are linked
+    only if their sets are.
+
     Rows with one set of shingles are one node, and nodes reach each other through links.  Of rows without
     shingles ``root`` is null.
     """
@@ -290,7 +320,8 @@ def set_classes(rows: DataFrame, rule: Rule) -> DataFrame:
     nodes = sets.agg(one, *firsts).select(F.monotonically_increasing_id().alias("id"), "t.t0", "t.t1", "*").drop("t")
     nodes = written(nodes, "nodes")
     scratch = Scratch(rows.sparkSession)
-    classes = written(_labelled(nodes, _classes(nodes, rows, rule, marks.count(), scratch)), "roots")
+    proposed = None if alike is None else scratch.written(_proposed(marks, nodes, alike), "proposed")
+    classes = written(_labelled(nodes, _classes(nodes, rows, rule, marks.count(), scratch, proposed)), "roots")
     scratch.drop()
     named = nodes.select("id", "d0", "d1", "size").join(classes.hint("merge"), "id").drop("id")
     held = marks.select("doc_id", "_row", "d0", "d1", "size")

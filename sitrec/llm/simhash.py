@@ -225,6 +225,24 @@ def near_classes(
     return out.select("doc_id", hexed, "component_id", (F.col("_row") == F.col("_top")).alias("kept"), "_row")
 
 
+def row_classes(
+    docs: DataFrame, distance: int = 4, shingle: int = 4, words: int = 1, text: str = "text", row: str = "_row"
+) -> DataFrame:
+    """``_row, alike`` of the rows whose fingerprint (see ``near_classes``) is linked with that of another row.
+
+    ``alike`` numbers the class of fingerprints.
+    """
+    parts = _parts(words)
+    rows = written(fingerprints(docs, shingle, words, text, {"_row": quoted(row)}), "fingerprints")
+    nodes = rows.groupBy(*parts).agg(F.min("_row").alias("id"), F.count("*").alias("n"))
+    nodes = written(nodes, "nodes")
+    classes = written(linked_classes(nodes, words, distance, distance), "classes")
+    named = nodes.join(classes.hint("merge"), "id")
+    many = named.groupBy("root").agg(F.sum("n").alias("rows")).where("rows > 1").select("root")
+    named = named.join(many.hint("merge"), "root").select(*parts, "n", F.col("root").alias("alike"))
+    return with_group(rows, written(named, "alike"), parts, "n", rows.count()).select("_row", "alike")
+
+
 def near_dedup(docs: DataFrame, **how) -> DataFrame:
     """Rows of ``docs`` that ``near_classes`` keeps, with all their columns but for clashing ones (``_row``)."""
     clean = without(docs, ["_row"])

@@ -2,7 +2,9 @@
 
 import random
 
+import numpy as np
 from cases import SCHEMA, rows, words
+from pyspark.sql import functions as F
 from test_simhash import components
 
 import corpus_pipeline
@@ -70,3 +72,25 @@ def test_edges(spark):
         best[t] = min(best.get(t, (True, 0, 0)), (data[i][0] is None, data[i][0] or 0, i)) if t in best else (
             data[i][0] is None, data[i][0] or 0, i)
     assert sorted(str(r.doc_id) for r in got.collect()) == sorted(str(data[i][0]) for _, _, i in best.values())
+
+
+def test_fingerprints_propose(spark, monkeypatch):
+    """Without any band in common, near copies are found by their fingerprints, and only those that really are."""
+    from sitrec.llm import near_copies, set_dedup
+    from sitrec.llm.simhash import near_classes
+
+    texts = pairs(5, 30, 400, (1,)) + pairs(6, 10, 40, (12,))
+    monkeypatch.setattr(set_dedup, "band_keys", lambda regs, rows: np.random.default_rng().integers(0, 1 << 63, (len(regs), 1), np.uint64))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = near_classes(docs).where("doc_id = component_id").count()
+    assert found < 80 and near(spark, texts) == sorted(set(components_of(docs, texts)))
+    monkeypatch.setattr(near_copies, "row_classes", lambda plain: plain.select("_row", F.lit(7).alias("alike")))
+    tops = components([sets(t) for t in texts], linked)
+    assert set(near(spark, texts)) >= set(tops)
+
+
+def components_of(docs, texts):
+    """The smallest id of each class that both fingerprints and sets link."""
+    from sitrec.llm.simhash import near_classes
+
+    return [r.component_id if linked(sets(texts[r.component_id]), sets(texts[r.doc_id])) else r.doc_id for r in near_classes(docs).collect()]
