@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitrec.llm.joins import share, spread
@@ -30,19 +30,41 @@ def _stars(edges: DataFrame, large: bool, limit: int) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
+def _small_stars(edges: DataFrame) -> DataFrame:
+    """Both steps for a table whose nodes have few neighbours: each node's rows meet once a step, unjoined."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = F.min("v").over(Window.partitionBy("u"))
+    large = both.select("u", "v", F.least(least, "u").alias("m")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    small = large.select("u", "v", least.alias("m"))
+    # the row of the smallest neighbour becomes the node's own edge, every other row its neighbour's
+    tied = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+    return small.select(tied.alias("u"), F.col("m").alias("v")).distinct()
+
+
+def _shape(edges: DataFrame) -> tuple[int, bool]:
+    """The most neighbours a node has, and whether all nodes but the smallest of a component have it as their only one."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.count("*").alias("n"))
+    most, tangled = nodes.agg(F.max("n"), F.max((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("n") > F.col("up"))))).first()
+    return most or 0, not tangled
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``node, root`` for every node of the edges ``u, v``; the root is the component's smallest node.
 
     Each round is written, so a lost executor costs one round at most.  The number of rounds grows with
-    the logarithm of the largest component; a node's edges are summed up before they move.
+    the logarithm of the largest component; a node's edges are summed up before they move, unless all nodes have few.
+    ``edges`` is read more than once: it should be a written table.
     """
-    table, seen = edges.select("u", "v").where("u <> v"), None
+    table = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
     limit = share(2 * table.count())  # stars do not add edges
     while True:
-        table = written(_stars(_stars(table, True, limit), False, limit), "edges")
-        now = table.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == seen:
+        most, done = _shape(table)
+        if done:
             return table.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 table.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
-        seen = now
+        stars = _small_stars(table) if most <= limit else _stars(_stars(table, True, limit), False, limit)
+        table = written(stars, "edges")

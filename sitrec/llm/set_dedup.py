@@ -126,12 +126,22 @@ def _alike(rule: Rule, a: str, b: str) -> Column:
     return sum(counts[1:], counts[0]) <= rule.differing
 
 
-def _paired(pairs: DataFrame, facts: DataFrame, columns: list[str]) -> DataFrame:
+def _frequent_sides(pairs: DataFrame, scratch: Scratch) -> dict[str, tuple[DataFrame | None, int]]:
+    """``frequent`` of the columns ``u`` and ``v``, both counted in one pass and kept."""
+    ends = [pairs.select(F.lit(side).alias("side"), F.col(side).alias("id")) for side in ("u", "v")]
+    counts = ends[0].unionByName(ends[1]).groupBy("side", "id").agg(F.count("*").alias("_n"))
+    limit = share(pairs.count())
+    large = scratch.written(counts.where(F.col("_n") > limit), "frequent")
+    found = {r["side"] for r in large.select("side").distinct().collect()}
+    return {s: (large.where(F.col("side") == s).select(F.col("id").alias(s), "_n") if s in found else None, limit) for s in ("u", "v")}
+
+
+def _paired(pairs: DataFrame, facts: DataFrame, columns: list[str], hot: dict[str, tuple[DataFrame | None, int]]) -> DataFrame:
     """The written ``pairs`` with the ``columns`` of ``facts`` for ``u`` and for ``v``, ending in ``_u`` and ``_v``."""
     out = pairs
     for side in ("u", "v"):
         named = facts.select(F.col("id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
-        out = spread(out, named, frequent(pairs, [side]), [side], by=["u", "v"])
+        out = spread(out, named, hot[side], [side], by=["u", "v"])
     return out
 
 
@@ -160,9 +170,10 @@ def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, rule: Rule, sc
             yield batch.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
 
     pairs = scratch.written(pairs.select("u", "v"), "pairs")
-    sketched = _paired(pairs, nodes, ["size", "registers"])
+    hot = _frequent_sides(pairs, scratch)  # of the pairs that are left, no key has more
+    sketched = _paired(pairs, nodes, ["size", "registers"], hot)
     pairs = scratch.written(sketched.mapInArrow(likely, "u long, v long"), "likely")
-    both = _paired(pairs, sets, ["hashes"])
+    both = _paired(pairs, sets, ["hashes"], hot)
     return scratch.written(both.mapInArrow(compare, "u long, v long"), "links")
 
 
@@ -236,28 +247,34 @@ def _classes(
     centres = shared.groupBy("key").agg(centre).select("key", "m.*").toDF("key", "m", "msize", *(f"m{k}" for k in range(rule.words)))
     star = spread_join(shared, scratch.written(centres, "centres"), ["key"])
     star = star.where("id <> m").where(rule.fits("size", "msize") & _alike(rule, "b", "m"))
-    star = scratch.written(star.groupBy(F.col("m").alias("u"), F.col("id").alias("v")).agg(F.count("*").alias("n")), "star")
+    star = star.groupBy(F.col("m").alias("u"), F.col("id").alias("v")).agg(F.count("*").alias("n"))
+    first = F.row_number().over(Window.partitionBy("v").orderBy(F.col("n").desc(), "u"))
+    nearest = F.max(F.when(F.col("first") == 1, F.col("u"))).over(Window.partitionBy("v")).alias("near")
+    star = scratch.written(star.withColumn("first", first).select("u", "v", nearest), "star")
 
     asked = shared.select("id")
     if proposed is not None:
         asked = asked.unionByName(proposed.select(F.explode(F.array("u", "v")).alias("id")))
     wanted = asked.distinct().join(nodes.select("id", "t0", "t1").hint("merge"), "id")
     sets = _sets(rows, scratch.written(wanted, "wanted"), rule, total, scratch)
-    best = star.groupBy("v").agg(F.max_by("u", F.struct(F.col("n"), (-F.col("u")).alias("least"))).alias("u")).select("u", "v")
+    best = star.where("u = near").select("u", "v")
     if proposed is not None:
         best = best.unionByName(proposed.select("u", "v")).distinct()
     links = verified(best, nodes, sets, rule, scratch)
     first = scratch.written(connected_components(links), "classes")
 
-    def apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        known = classes.select(F.col("node").alias("id"), "root")
-        for side in ("u", "v"):
-            pairs = scratch.written(pairs, "apart")
-            named = known.select(F.col("id").alias(side), F.col("root").alias(f"r{side}"))
-            pairs = spread_join(pairs, named, [side], "left")
-        return pairs.where(F.coalesce("ru", "u") != F.coalesce("rv", "v")).select("u", "v")
-
-    again = verified(apart(star.select("u", "v"), first), nodes, sets, rule, scratch)
+    # a node linked with its nearest centre is of that one's class, so its other centres are compared as pairs of centres
+    others = star.where("u <> near")
+    known = first.select(F.col("node").alias("id"), "root")
+    far = scratch.written(others.select("u", "near").distinct(), "centres")
+    for c in ("u", "near"):
+        far = spread_join(far, known.select(F.col("id").alias(c), F.col("root").alias(f"r{c}")), [c], "left")
+        far = scratch.written(far, "centres")
+    far = far.where(F.coalesce("ru", "u") != F.coalesce("rnear", "near")).select("u", "near")
+    linked = links.select(F.col("u").alias("near"), "v").hint("merge")
+    alone = others.join(linked, ["near", "v"], "left_anti")
+    more = spread_join(others, far, ["u", "near"]).select("u", "v").unionByName(alone.select("u", "v")).distinct()
+    again = verified(more, nodes, sets, rule, scratch)
     links = scratch.written(links.unionByName(again), "links")
     second = scratch.written(connected_components(links), "classes")
 

@@ -94,3 +94,28 @@ def components_of(docs, texts):
     from sitrec.llm.simhash import near_classes
 
     return [r.component_id if linked(sets(texts[r.component_id]), sets(texts[r.doc_id])) else r.doc_id for r in near_classes(docs).collect()]
+
+
+def test_centres_of_one_class_are_compared_as_pairs_of_centres(spark, monkeypatch):
+    """A large group of near copies: the join by centre has a row a pair of centres, not one for each node and centre."""
+    from sitrec.llm import set_dedup
+
+    seen = []
+
+    def joined(rows, facts, keys, how="inner", real=set_dedup.spread_join):
+        if how == "left" and keys in (["u"], ["v"], ["near"]):
+            seen.append(rows.count())
+        return real(rows, facts, keys, how)
+
+    monkeypatch.setattr(set_dedup, "spread_join", joined)
+    rng, base = random.Random(5), [f"w{k}" for k in range(120)]
+    texts = []
+    for i in range(400):
+        own = list(base)
+        for at in rng.sample(range(120), 2):
+            own[at] = f"e{i}x{at}"
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = set_dedup.near_sets(docs, shingle=3).collect()
+    assert seen and max(seen) < len(texts)
+    assert {r.component_id for r in found} == {0}

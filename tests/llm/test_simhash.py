@@ -122,3 +122,28 @@ def test_components(spark):
     tops = components(nodes, lambda a, b: (a, b) in edges or (b, a) in edges)
     assert got == {n: nodes[t] for n, t in zip(nodes, tops)}
     assert connected_components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_stars_need_no_round_and_wide_ones_give_the_same(spark, monkeypatch):
+    """Edges that are stars already are not written again; both forms of a round find the components."""
+    from sitrec.llm import components as module
+
+    rounds = []
+    monkeypatch.setattr(module, "written", lambda df, name, real=module.written: rounds.append(name) or real(df, name))
+    stars = spark.createDataFrame([(1, 5), (6, 1), (1, 7), (3, 2)], "u long, v long")
+    got = {r.node: r.root for r in module.connected_components(stars).collect()}
+    assert got == {1: 1, 5: 1, 6: 1, 7: 1, 2: 2, 3: 2} and not rounds
+
+    rng = random.Random(7)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(260)] + [(9, 9), (4, 200), (200, 4)]
+    edges += [(i, i + 1) for i in range(400, 440)]
+    table = spark.createDataFrame(edges, "u long, v long")
+    narrow = sorted((r.node, r.root) for r in module.connected_components(table).collect())
+    monkeypatch.setattr(module, "share", lambda total: 1)  # a node with two neighbours is divided
+    assert narrow == sorted((r.node, r.root) for r in module.connected_components(table).collect())
+    top = {n: n for e in edges for n in e}
+    for _ in range(60):
+        for a, b in edges:
+            top[a] = top[b] = min(top[a], top[b])
+    linked = {n for a, b in edges if a != b for n in (a, b)}
+    assert dict(narrow) == {n: top[n] for n in linked} and len(narrow) == len(linked)
