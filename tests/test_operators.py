@@ -454,3 +454,43 @@ def test_spearman_matrix(spark):
     for bad in ([(1, [1.0, None]), (2, [1.0, 2.0])], [(1, [1.0]), (2, [1.0, 2.0])], [(1, None), (2, [1.0])], [(1, [1.0]), (1, [2.0])]):
         with pytest.raises(ValueError):
             vectors.spearman_matrix(spark.createDataFrame(bad, "id long, v array<double>"), "id", "v")
+
+
+def test_code_lengths_are_those_of_a_huffman_tree():
+    import heapq
+    import random
+
+    from sitrec.operators.word_vectors import code_lengths
+
+    rng = random.Random(3)
+    for words in (0, 1, 2, 3, 50, 400):
+        weights = [rng.choice((1, 1, 1, 2, 3, 5, 8, 40, 900)) for _ in range(words)]
+        found = code_lengths(sorted(Counter(weights).items()))
+        heap, cost = list(weights), 0
+        heapq.heapify(heap)
+        while len(heap) > 1:
+            a = heapq.heappop(heap) + heapq.heappop(heap)
+            cost += a
+            heapq.heappush(heap, a)
+        lengths = [n for n, many in found.items() for _ in range(many)]
+        assert len(lengths) == words and sum(a * b for a, b in zip(sorted(weights, reverse=True), lengths)) == cost
+        assert words < 2 or sum(2.0**-n for n in lengths) == 1.0
+
+
+def test_word2vec_keeps_its_vocabulary_in_a_table(spark):
+    """All words get vectors through tables; words that occur together come to be alike; the driver gets no word."""
+    rng = np.random.default_rng(2)
+    groups = [[f"{g}{i}" for i in range(6)] for g in "ab"]
+    texts = [(i, " ".join(rng.choice(groups[i % 2], 30))) for i in range(400)] + [(400, None), (401, ""), (1, "a0 a0")]
+    df = text.tokenize(spark.createDataFrame(texts, "doc_id int, text string").where("text is not null").repartition(3))
+    model = text.fit_word2vec(df, size=3, iterations=6, partitions=3, min_count=2)
+    assert type(model).__module__.startswith("sitrec.")
+    vectors = {r.word: r.vector.toArray() for r in model.getVectors().collect()}
+    assert set(vectors) == {w for g in groups for w in g}
+    unit = {w: v / np.linalg.norm(v) for w, v in vectors.items()}
+    same = np.mean([unit[a] @ unit[b] for g in groups for a in g for b in g if a != b])
+    assert same > np.mean([unit[a] @ unit[b] for a in groups[0] for b in groups[1]]) + 0.3
+    made = Counter((r.doc_id, tuple(np.round(r.vector.toArray(), 9))) for r in model.transform(df).collect())
+    held = [(r.doc_id, r.words) for r in df.collect()]
+    want = [(d, sum((vectors.get(w, np.zeros(3)) for w in ws), np.zeros(3)) / len(ws)) for d, ws in held]
+    assert made == Counter((d, tuple(np.round(v, 9))) for d, v in want)
