@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitrec.llm.columns import quoted, text_or_empty
-from sitrec.llm.components import connected_components
+from sitrec.llm.components import connected_components, gathered
 from sitrec.llm.exact_dedup import filter_bits
 from sitrec.llm.joins import frequent, maybe_among, share, spread, spread_join
 from sitrec.llm.set_sketch import SLICE, band_keys, bits, can_be, digests, most_differing, registers, shingle_sets
@@ -51,10 +51,14 @@ class Rule:
 
 
 class Scratch:
-    """Tables that are needed until the classes are known."""
+    """Tables that are needed until the classes of ``rows`` rows are known."""
 
-    def __init__(self, spark: SparkSession):
-        self.spark, self.tables = spark, []
+    def __init__(self, spark: SparkSession, rows: int):
+        self.spark, self.tables, self.tasks = spark, [], gathered(rows)
+
+    def narrow(self, df: DataFrame, name: str) -> DataFrame:
+        """``written`` for rows of a few numbers: a small table is not a file for every shuffle partition."""
+        return self.written(df.coalesce(self.tasks), name)
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
         path = new_path(self.spark, name)
@@ -131,7 +135,7 @@ def _frequent_sides(pairs: DataFrame, scratch: Scratch) -> dict[str, tuple[DataF
     ends = [pairs.select(F.lit(side).alias("side"), F.col(side).alias("id")) for side in ("u", "v")]
     counts = ends[0].unionByName(ends[1]).groupBy("side", "id").agg(F.count("*").alias("_n"))
     limit = share(pairs.count())
-    large = scratch.written(counts.where(F.col("_n") > limit), "frequent")
+    large = scratch.narrow(counts.where(F.col("_n") > limit), "frequent")
     found = {r["side"] for r in large.select("side").distinct().collect()}
     return {s: (large.where(F.col("side") == s).select(F.col("id").alias(s), "_n") if s in found else None, limit) for s in ("u", "v")}
 
@@ -169,12 +173,12 @@ def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, rule: Rule, sc
             ]
             yield batch.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
 
-    pairs = scratch.written(pairs.select("u", "v"), "pairs")
+    pairs = scratch.narrow(pairs.select("u", "v"), "pairs")
     hot = _frequent_sides(pairs, scratch)  # of the pairs that are left, no key has more
     sketched = _paired(pairs, nodes, ["size", "registers"], hot)
-    pairs = scratch.written(sketched.mapInArrow(likely, "u long, v long"), "likely")
+    pairs = scratch.narrow(sketched.mapInArrow(likely, "u long, v long"), "likely")
     both = _paired(pairs, sets, ["hashes"], hot)
-    return scratch.written(both.mapInArrow(compare, "u long, v long"), "links")
+    return scratch.narrow(both.mapInArrow(compare, "u long, v long"), "links")
 
 
 def _sets(rows: DataFrame, wanted: DataFrame, rule: Rule, total: int, scratch: Scratch) -> DataFrame:
@@ -250,33 +254,33 @@ def _classes(
     star = star.groupBy(F.col("m").alias("u"), F.col("id").alias("v")).agg(F.count("*").alias("n"))
     first = F.row_number().over(Window.partitionBy("v").orderBy(F.col("n").desc(), "u"))
     nearest = F.max(F.when(F.col("first") == 1, F.col("u"))).over(Window.partitionBy("v")).alias("near")
-    star = scratch.written(star.withColumn("first", first).select("u", "v", nearest), "star")
+    star = scratch.narrow(star.withColumn("first", first).select("u", "v", nearest), "star")
 
     asked = shared.select("id")
     if proposed is not None:
         asked = asked.unionByName(proposed.select(F.explode(F.array("u", "v")).alias("id")))
     wanted = asked.distinct().join(nodes.select("id", "t0", "t1").hint("merge"), "id")
-    sets = _sets(rows, scratch.written(wanted, "wanted"), rule, total, scratch)
+    sets = _sets(rows, scratch.narrow(wanted, "wanted"), rule, total, scratch)
     best = star.where("u = near").select("u", "v")
     if proposed is not None:
         best = best.unionByName(proposed.select("u", "v")).distinct()
     links = verified(best, nodes, sets, rule, scratch)
-    first = scratch.written(connected_components(links), "classes")
+    first = scratch.narrow(connected_components(links), "classes")
 
     # a node linked with its nearest centre is of that one's class, so its other centres are compared as pairs of centres
     others = star.where("u <> near")
     known = first.select(F.col("node").alias("id"), "root")
-    far = scratch.written(others.select("u", "near").distinct(), "centres")
+    far = scratch.narrow(others.select("u", "near").distinct(), "centres")
     for c in ("u", "near"):
         far = spread_join(far, known.select(F.col("id").alias(c), F.col("root").alias(f"r{c}")), [c], "left")
-        far = scratch.written(far, "centres")
+        far = scratch.narrow(far, "centres")
     far = far.where(F.coalesce("ru", "u") != F.coalesce("rnear", "near")).select("u", "near")
     linked = links.select(F.col("u").alias("near"), "v").hint("merge")
     alone = others.join(linked, ["near", "v"], "left_anti")
     more = spread_join(others, far, ["u", "near"]).select("u", "v").unionByName(alone.select("u", "v")).distinct()
     again = verified(more, nodes, sets, rule, scratch)
-    links = scratch.written(links.unionByName(again), "links")
-    second = scratch.written(connected_components(links), "classes")
+    links = scratch.narrow(links.unionByName(again), "links")
+    second = scratch.narrow(connected_components(links), "classes")
 
     roots = _labelled(nodes, second)
     members = spread_join(shared.select("key", "id", "size", *parts), roots, ["id"])
@@ -284,7 +288,7 @@ def _classes(
     mixed = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
     members = scratch.written(spread_join(members, mixed, ["key"]), "members")
     rare = _rare_shingles(members.select("id").distinct(), sets, scratch)
-    few = scratch.written(rare.groupBy("id").agg(F.count("*").alias("few")), "few")
+    few = scratch.narrow(rare.groupBy("id").agg(F.count("*").alias("few")), "few")
     known = members.drop("key").distinct().join(few.hint("merge"), "id", "left")
     known = scratch.written(known.withColumn("other", F.col("size") - F.coalesce("few", F.lit(0))).drop("few"), "known")
 
@@ -336,9 +340,10 @@ def set_classes(rows: DataFrame, rule: Rule, alike: DataFrame | None = None) ->
     one = F.min(F.struct("t0", "t1")).alias("t")
     nodes = sets.agg(one, *firsts).select(F.monotonically_increasing_id().alias("id"), "t.t0", "t.t1", "*").drop("t")
     nodes = written(nodes, "nodes")
-    scratch = Scratch(rows.sparkSession)
-    proposed = None if alike is None else scratch.written(_proposed(marks, nodes, alike), "proposed")
-    classes = written(_labelled(nodes, _classes(nodes, rows, rule, marks.count(), scratch, proposed)), "roots")
+    total = marks.count()
+    scratch = Scratch(rows.sparkSession, total)
+    proposed = None if alike is None else scratch.narrow(_proposed(marks, nodes, alike), "proposed")
+    classes = written(_labelled(nodes, _classes(nodes, rows, rule, total, scratch, proposed)), "roots")
     scratch.drop()
     named = nodes.select("id", "d0", "d1", "size").join(classes.hint("merge"), "id").drop("id")
     held = marks.select("doc_id", "_row", "d0", "d1", "size")

@@ -147,3 +147,33 @@ def test_stars_need_no_round_and_wide_ones_give_the_same(spark, monkeypatch):
             top[a] = top[b] = min(top[a], top[b])
     linked = {n for a, b in edges if a != b for n in (a, b)}
     assert dict(narrow) == {n: top[n] for n in linked} and len(narrow) == len(linked)
+
+
+def test_rounds_of_small_tables_are_gathered(spark, monkeypatch):
+    """Edges of a small table are not dealt over all shuffle partitions, whether a centre is divided or not."""
+    import sitrec.llm.components as module
+
+    files = []
+
+    def counted(df, name):
+        table = written(df, name)
+        files.append(len(table.inputFiles()))
+        return table
+
+    written = module.written
+    monkeypatch.setattr(module, "written", counted)
+    edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)]
+    settings = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        table = written(spark.createDataFrame(edges, "u long, v long"), "edges")
+        for limit in (module.share(0), 8):  # a centre has 59 neighbours
+            monkeypatch.setattr(module, "share", lambda total, limit=limit: limit)
+            got = {r.node: r.root for r in module.connected_components(table).collect()}
+            assert got == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 160)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert files and max(files) <= module.TASKS
