@@ -51,14 +51,14 @@ class Rule:
 
 
 class Scratch:
-    """Tables that are needed until the classes of ``rows`` rows are known."""
+    """Tables that are needed until the classes are known; ``rows`` has how many rows get one."""
 
-    def __init__(self, spark: SparkSession, rows: int):
-        self.spark, self.tables, self.tasks = spark, [], gathered(rows)
+    def __init__(self, spark: SparkSession, rows: int = 0):
+        self.spark, self.tables, self.rows = spark, [], rows
 
     def narrow(self, df: DataFrame, name: str) -> DataFrame:
         """``written`` for rows of a few numbers: a small table is not a file for every shuffle partition."""
-        return self.written(df.coalesce(self.tasks), name)
+        return self.written(df.coalesce(gathered(self.rows)), name)
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
         path = new_path(self.spark, name)
@@ -334,20 +334,21 @@ def set_classes(rows: DataFrame, rule: Rule, alike: DataFrame | None = None) ->
     Rows with one set of shingles are one node, and nodes reach each other through links.  Of rows without
     shingles ``root`` is null.
     """
-    marks = written(sketches(rows, rule), "sketches")
-    sets = marks.where("size > 0").groupBy("d0", "d1", "size")
+    scratch = Scratch(rows.sparkSession)
+    sketched = scratch.written(sketches(rows, rule), "sketches")
+    marks = written(sketched.select("doc_id", "_row", "d0", "d1", "size"), "marks")
+    sets = sketched.where("size > 0").groupBy("d0", "d1", "size")
     firsts = [F.first(c).alias(c) for c in (*(f"b{k}" for k in range(rule.words)), "registers")]
     one = F.min(F.struct("t0", "t1")).alias("t")
     nodes = sets.agg(one, *firsts).select(F.monotonically_increasing_id().alias("id"), "t.t0", "t.t1", "*").drop("t")
     nodes = written(nodes, "nodes")
-    total = marks.count()
-    scratch = Scratch(rows.sparkSession, total)
+    scratch.drop(sketched)  # nodes hold the registers now
+    scratch.rows = total = marks.count()
     proposed = None if alike is None else scratch.narrow(_proposed(marks, nodes, alike), "proposed")
     classes = written(_labelled(nodes, _classes(nodes, rows, rule, total, scratch, proposed)), "roots")
     scratch.drop()
     named = nodes.select("id", "d0", "d1", "size").join(classes.hint("merge"), "id").drop("id")
-    held = marks.select("doc_id", "_row", "d0", "d1", "size")
-    return spread_join(held, written(named, "named"), ["d0", "d1", "size"], "left").select("doc_id", "_row", "size", "root")
+    return spread_join(marks, written(named, "named"), ["d0", "d1", "size"], "left").select("doc_id", "_row", "size", "root")
 
 
 def near_sets(

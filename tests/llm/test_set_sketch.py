@@ -180,3 +180,21 @@ def test_prefix(spark, percent):
             assert first[0] & first[1]
             met += 1
     assert met > 300
+
+
+def test_sketches_go_before_classes(spark, monkeypatch):
+    """Registers are on disk once, in the nodes, while classes are sought."""
+    import os
+
+    from sitrec.llm import set_dedup
+    from sitrec.storage import shared_folder
+
+    def tables():
+        return {n for n in os.listdir(shared_folder(spark).removeprefix("file:")) if n.startswith("sketches-")}
+
+    before, seen, real = tables(), [], set_dedup._classes
+    monkeypatch.setattr(set_dedup, "_classes", lambda *a: seen.append(tables() - before) or real(*a))
+    words = " ".join(f"w{i}" for i in range(200))
+    docs = spark.createDataFrame([(1, words), (2, words + " end"), (3, "other words here"), (4, None)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in set_dedup.near_sets(docs).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4} and seen == [set()]
