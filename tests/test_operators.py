@@ -388,6 +388,20 @@ def test_terms_and_frequencies(spark):
     assert weights[(1, "a")] == pytest.approx(math.log(5 / 3))
 
 
+@pytest.mark.parametrize("held", [True, False])
+def test_large_vocabulary_is_held_by_tasks(spark, monkeypatch, held):
+    """Too large to broadcast, the vocabulary is hashed where a task can hold its part, and merged where not."""
+    df = spark.createDataFrame([(i, ["all", f"w{i % 7}", f"w{i % 5}", f"one{i}"]) for i in range(40)], "doc_id bigint, words array<string>")
+    expected = sorted(text.tf_idf(df, "doc_id").collect())
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    if not held:
+        monkeypatch.setattr(text, "VOCABULARY_BYTES", 0)
+    shuffled = text.tf_idf(df, "doc_id")
+    plan = shuffled._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=shuffle_hash" in plan) == held
+    assert sorted(shuffled.collect()) == expected
+
+
 def test_hashing_keeps_the_token_count(spark):
     df = text.tokenize(spark.createDataFrame([(1, "a b a c"), (2, "x")], "doc_id int, text string"))
     got = text.hashing_tf(df, 20).select("doc_id", F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x).alias("n"))
