@@ -58,11 +58,15 @@ def mean_pairs(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy(USER_I, ITEM_I).agg(F.avg("rating").alias("rating"))
 
 
-BLOCK_ROWS = 500_000  # ratings of a block, some tens of MB in memory
+BLOCK_ROWS = 4_000_000  # ratings of a block, about 100 MB in memory while it is sorted
 
 
 def blocks_for(ratings: DataFrame) -> int:
-    """Blocks of users and of items, so that a block holds about ``BLOCK_ROWS`` ratings and every core has one."""
+    """Blocks of users and of items, so that a block holds ``BLOCK_ROWS`` ratings at most and every core has one.
+
+    Every iteration sends a user's factors to each block that holds an item of the user, and the ratings are first dealt
+    to all pairs of blocks.  Both grow with the number of blocks, so there are no more than memory asks for.
+    """
     return max(10, ratings.sparkSession.sparkContext.defaultParallelism, -(-ratings.count() // BLOCK_ROWS))
 
 
@@ -87,20 +91,27 @@ def fit_grid(
     seed: int = 0,
     **settings,
 ) -> TrainValidationSplitModel:
-    """All grid points on one train/validation split; the best by RMSE is refitted on all rows."""
+    """All grid points on one train/validation split; the best by RMSE is refitted on all rows.
+
+    The ratings are worked out once: counted, split in two and refitted from the same kept rows.
+    """
     shared_folder(ratings.sparkSession)
-    estimator = als(**{"seed": seed, "blocks": blocks_for(ratings)} | settings)
-    points = ParamGridBuilder()
-    for name, values in grid.items():
-        points = points.addGrid(estimator.getParam(name), list(values))
-    return TrainValidationSplit(
-        estimator=estimator,
-        estimatorParamMaps=points.build(),
-        evaluator=RegressionEvaluator(metricName="rmse", labelCol="rating"),
-        trainRatio=train_ratio,
-        parallelism=parallelism,
-        seed=seed,
-    ).fit(ratings)
+    kept = ratings.select(USER_I, ITEM_I, "rating").persist()
+    try:
+        estimator = als(**{"seed": seed, "blocks": blocks_for(kept)} | settings)
+        points = ParamGridBuilder()
+        for name, values in grid.items():
+            points = points.addGrid(estimator.getParam(name), list(values))
+        return TrainValidationSplit(
+            estimator=estimator,
+            estimatorParamMaps=points.build(),
+            evaluator=RegressionEvaluator(metricName="rmse", labelCol="rating"),
+            trainRatio=train_ratio,
+            parallelism=parallelism,
+            seed=seed,
+        ).fit(kept)
+    finally:
+        kept.unpersist()
 
 
 def factor_scores(

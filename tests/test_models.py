@@ -472,6 +472,30 @@ def test_unknown_user_and_context(spark):
     assert recommend.score_items(dictionary, model, "nobody", {"Time": "Never"}).count() == 10
 
 
+def test_blocks_follow_memory_and_cores(spark):
+    """Every block of items gets the factors of nearly every user, so there are no more blocks than needed."""
+    least = max(10, spark.sparkContext.defaultParallelism)
+    assert als.blocks_for(spark.range(10)) == least
+    assert als.blocks_for(spark.range(28_800_000)) == least
+    assert als.blocks_for(spark.range(40 * als.BLOCK_ROWS + 1)) == max(41, least)
+
+
+def test_grid_works_out_its_ratings_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def rating(i):
+        seen.add(1)
+        return float(i % 7) / 3 - 1
+
+    coded = spark.range(120, numPartitions=3).select(
+        (F.col("id") % 12).cast("int").alias(als.USER_I), (F.col("id") % 10).cast("int").alias(als.ITEM_I), rating("id").alias("rating")
+    )
+    fitted = als.fit_grid(coded, {"rank": (1, 2), "regParam": (0.1,)}, nonnegative=True, iterations=1)
+    assert len(fitted.validationMetrics) == 2 and fitted.bestModel.userFactors.count() == 12
+    assert seen.value == 120
+
+
 def test_filters_around_als(spark):
     df = rated(spark)
     coded, users, items = recommend.indexed_ratings(df, F.col("row_id"))
