@@ -255,6 +255,62 @@ def test_points_side_by_side_equal_single_fits(spark):
     assert errors[1] == pytest.approx(search.fm_rmse(fm_fit.fm_train_lbfgs(rows, N, points[1]), rows))
 
 
+def test_points_in_turn_equal_points_side_by_side(spark, monkeypatch):
+    """However few descents move at a time; points that differ in what they switch off are one descent."""
+    rows = frame(spark, random_rows(60)).repartition(3).persist()
+    points = [FMSettings(iterations=5, dim=(b, True, 2), reg=(r, 0.01, 0.01), init_std=0.1) for b in (True, False) for r in (0.0, 0.5)]
+    errors, asked, whole = fm_fit.fm_validate_points(rows, rows, N, points), [], fm_fit.CompactSpace.evaluate
+    assert errors[0] != errors[1] and errors[2] == errors[3]
+
+    def counted(space, some):
+        asked.append(len(some))
+        return whole(space, some)
+
+    monkeypatch.setattr(fm_fit.CompactSpace, "evaluate", counted)
+    for held, most in ((1 << 30, 3), (1, 1)):
+        monkeypatch.setattr(fm_fit, "DESCENT_BYTES", held)
+        asked.clear()
+        assert fm_fit.fm_validate_points(rows, rows, N, points) == pytest.approx(errors, rel=1e-9)
+        assert max(asked) == most
+    monkeypatch.setattr(fm_fit, "DRIVER_BYTES", 0)
+    assert fm_fit.fm_validate_points(rows, rows, N, points) == pytest.approx(errors, rel=1e-9)
+
+
+def test_rows_of_one_length_and_others_add_alike():
+    """Blocks column by column give the scores and gradients of rows cell by cell, to the last bit where no row is ragged."""
+    rng, cells = np.random.default_rng(4), 6
+    for n, length, values in ((50, 5, (1.0,)), (50, 1, (0.5, 2.0)), (30, 3, (1.0, -0.5))):
+        idx, val = rng.integers(0, cells, (n, length)) + cells * np.arange(length), rng.choice(values, (n, length))
+        seen, place = np.unique(idx.ravel(), return_inverse=True)
+        y, settings, table = rng.normal(size=n), FMSettings(), rng.normal(size=(cells * length, 9))
+        found = []
+        for rows in (fm_fit.EvenRows(y, length, seen, place, val.ravel()), fm_fit.RaggedRows(y, np.full(n, length), seen, place, val.ravel())):
+            raw, *parts = rows.score(0.1, table)
+            grad = np.zeros_like(table)
+            rows.add_gradient(grad, fm_fit._slopes(settings, raw, y, -1.0, 1.0)[1], *parts)
+            found.append((raw, grad))
+        assert all((a == b).all() for a, b in zip(*found))
+
+
+def test_queries_do_the_whole_job(spark, monkeypatch):
+    """``fm_search`` searches all points of the grid, ``fm_lbfgs_table`` has all iterations."""
+    from sitrec.checks import machine
+
+    monkeypatch.setattr(machine, "feature_dictionary", lambda df: df)
+    for name in ("ratings", "encoded", "scaled"):
+        monkeypatch.setattr(machine, name, lambda *args: spark.range(1))
+    monkeypatch.setattr(machine.search, "fm_search", lambda rows, n, grid=search.FM_GRID: search.grid_points(grid))
+    assert len(machine.fm_search(spark, "")) == 324
+
+    def fitted(rows, n, settings, compact_bytes):
+        raise InterruptedError(settings.iterations, compact_bytes)
+
+    monkeypatch.setattr(machine, "fm_train_lbfgs", fitted)
+    with pytest.raises(InterruptedError) as asked:
+        machine.fm_lbfgs_table(spark, "")
+    assert asked.value.args == (100, 0)
+
+
 def test_rows_without_features_count(spark):
     """Half of the rows have no feature: the intercept learns from them, and they are scored."""
     rows = [(i, 1.0 if i % 2 else 50.0, [0] if i % 2 else [], [1.0] if i % 2 else []) for i in range(10)]
