@@ -35,6 +35,7 @@ from sitrec.models.fm_fit import FMSettings, fm_train_lbfgs, fm_train_sgd
 from sitrec.operators import relational as ops
 from sitrec.operators import text, vectors
 from sitrec.operators.encoding import ENCODED, encode, feature_dictionary
+from sitrec.operators.joins import hot_of_counts, lookup_join
 from sitrec.plans import recommend, stages
 from sitrec.sources.features import load_table, long_features
 from sitrec.storage import new_path, written
@@ -79,7 +80,11 @@ def word2vec_mean(spark, sf_dir):
     model = text.fit_word2vec(df, size=3, min_count=0)
     made = model.transform(df).select("doc_id", vector_to_array("vector").alias("v"))
     words = model.getVectors().select(F.col("word").alias("term"), vector_to_array("vector").alias("w"))
-    sums = text.term_counts(df, "doc_id").join(words, "term").groupBy("doc_id").agg(
+    held = lookup_join(
+        text.term_counts(df, "doc_id"), words, "term", F.col("doc_id"), how="inner",
+        hot=lambda: hot_of_counts(model.table, "term", "n"), task_bytes=text.VOCABULARY_BYTES,
+    )
+    sums = held.groupBy("doc_id").agg(
         F.sum("tf").alias("n"), *(F.sum(F.col("tf") * F.col("w")[i]).alias(f"s{i}") for i in range(3))
     )
     gap = F.greatest(*(F.abs(F.col(f"s{i}") / F.col("n") - F.col("v")[i]) for i in range(3)))

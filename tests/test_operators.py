@@ -508,3 +508,62 @@ def test_word2vec_keeps_its_vocabulary_in_a_table(spark):
     held = [(r.doc_id, r.words) for r in df.collect()]
     want = [(d, sum((vectors.get(w, np.zeros(3)) for w in ws), np.zeros(3)) / len(ws)) for d, ws in held]
     assert made == Counter((d, tuple(np.round(v, 9))) for d, v in want)
+
+
+def test_word2vec_leaves_no_tables_behind(spark):
+    """What only the training reads is deleted: sentences, vocabulary, needed words, parts' vectors, nodes."""
+    import os
+
+    from sitrec.storage import shared_folder
+
+    folder = shared_folder(spark)
+    df = text.tokenize(spark.createDataFrame([(i, f"a b c{i % 3} d{i}") for i in range(40)], "doc_id int, text string"))
+    for iterations in (1, 3):
+        before = set(os.listdir(folder))
+        model = text.fit_word2vec(df, size=2, iterations=iterations, partitions=2)
+        assert [name.split("-")[0] for name in set(os.listdir(folder)) - before] == ["vectors"]
+        assert model.getVectors().count() == 45
+
+
+def test_word2vec_steps_by_hand():
+    """Steps of a part, word by word in plain loops; large vectors, so that some pairs are beyond the limit."""
+    import pyarrow as pa
+
+    from sitrec.operators import word_vectors as wv
+
+    rng, size, words = np.random.default_rng(7), 2, 6
+    spelt = ["0", "10", "110", "1110", "11110", "11111"]
+    start = rng.normal(size=(words, size)) * 30
+    nodes = {b[:d]: rng.normal(size=size) for b in spelt for d in range(len(b))}
+    texts = [rng.integers(0, words, n).tolist() for n in (25, 3, 9)]
+    name = lambda prefix: int("1" + prefix, 2)
+    rows = [(wv.WORD, i, f"t{i}", len(b), int(b, 2), start[i].tolist()) for i, b in enumerate(spelt)]
+    rows += [(wv.NODE, name(p), None, None, None, v.tolist()) for p, v in nodes.items()]
+    kinds = (pa.int32(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.float64()))
+    held = pa.table({c: pa.array([r[j] for r in rows], k) for j, (c, k) in enumerate(zip(("kind", "id", "term", "size", "code", "vec"), kinds))})
+    given = [[f"t{w}" for w in t] + ["strange", None] for t in texts]
+    sentences = pa.table({"sentence": pa.array([5, 6, 9]), "words": pa.array(given, pa.list_(pa.string()))})
+    got = wv._learn(sentences, held, 4, size, 1, 2, 3, 10.0, 1000.0, True)
+
+    want, inner, draw, skipped = start.copy(), {p: v.copy() for p, v in nodes.items()}, np.random.default_rng([1, 2, 4]), 0
+    for t in texts:
+        reach = wv.WINDOW - draw.integers(0, wv.WINDOW, len(t))
+        for at in range(0, len(t), wv.CENTRES):
+            old, old_inner = want.copy(), {p: v.copy() for p, v in inner.items()}
+            for c in range(at, min(at + wv.CENTRES, len(t))):
+                for o in range(max(0, c - reach[c]), min(len(t), c + reach[c] + 1)):
+                    for d, bit in enumerate(spelt[t[c]]) if o != c else ():
+                        p = spelt[t[c]][:d]
+                        f = old[t[o]] @ old_inner[p]
+                        if abs(f) >= wv.CLIP:
+                            skipped += 1
+                            continue
+                        g = (1 - int(bit) - 1 / (1 + np.exp(-f))) * wv.RATE
+                        inner[p] += g * old[t[o]]
+                        want[t[o]] += g * old_inner[p]
+    assert skipped
+    found = {(r["kind"], r["id"]): r["vec"] for r in got.to_pylist()}
+    for i in range(words):
+        assert found[wv.WORD, i] == pytest.approx(want[i].tolist(), rel=1e-9)
+    for p, v in inner.items():
+        assert found.get((wv.NODE, name(p)), v.tolist()) == pytest.approx(v.tolist(), rel=1e-9)
